@@ -6,9 +6,11 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallyward.functions.keys import hour_of
 from tallyward.operators import quality, reconcile, training, warehouse
 from tallyward.operators.model import Trained, refresh, train_baseline
 from tallyward.plans.durable import durable
@@ -26,45 +28,47 @@ WAREHOUSE_TABLES = [
 def hourly(
     spark: SparkSession, silver: DataFrame, labels: DataFrame, out: str,
     target_hour: str | None = None, as_of: datetime | None = None,
-) -> dict[str, Any]:
+) -> dict[str, int]:
     """Deduplicate silver, attach labels, write curated / retraining / monitoring by hour and
-    return row counts, which are observed on the writes themselves.
+    return row counts.
 
     Curated is written first and is the input of the other two tables, so the
     deduplication and the join run once and survive lost executors. The label delay of all
-    rows counts from one moment.
+    rows counts from one moment. Row counts come from the written tables: counters kept
+    while writing would count the rows of a repeated task twice.
     """
     as_of = as_of or datetime.now(timezone.utc)
     window = reconcile.filter_hour(silver, target_hour)
-    reconcile.require_rows(window)
-    read, written, trained = Observation("read"), Observation("written"), Observation("trained")
-    observed = window.observe(read, F.count(F.lit(1)).alias("rows"))
+    span = window.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min(hour_of(F.col("event_ts"))).alias("first"),
+        F.max(hour_of(F.col("event_ts"))).alias("last"),
+    ).first()
+    if not span["rows"]:
+        raise ValueError("No scored transactions found for the selected window.")
     joined = reconcile.reconcile(
-        reconcile.dedup_scored(observed), reconcile.dedup_labels(labels), as_of,
+        reconcile.dedup_scored(window), reconcile.dedup_labels(labels), as_of,
         load=reconcile.business_key_load(window))
-    curated = reconcile.with_hour(joined).select(*CURATED.fieldNames()).observe(
-        written,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if("is_label_available").alias("labelled"),
-        F.min(HOUR).alias("first_hour"),
-        F.max(HOUR).alias("last_hour"),
-    )
-    sinks.write_hourly(curated, f"{out}/curated_scored")
-
-    # The hours of this run only: earlier runs may have left others in the table.
-    stats = written.get
-    this_run = spark.read.schema(CURATED).parquet(f"{out}/curated_scored").where(
-        F.col(HOUR).between(F.lit(stats["first_hour"]), F.lit(stats["last_hour"])))
-    dataset = training.training_dataset(this_run).select(*RETRAINING.fieldNames()).observe(
-        trained, F.count(F.lit(1)).alias("rows"))
-    sinks.write_hourly(dataset, f"{out}/retraining_dataset")
+    sinks.write_hourly(reconcile.with_hour(joined).select(*CURATED.fieldNames()), f"{out}/curated_scored")
+
+    def this_run(name: str, schema: T.StructType) -> DataFrame:
+        """The hours of this run only: earlier runs may have left others in the table."""
+        return spark.read.schema(schema).parquet(f"{out}/{name}").where(
+            F.col(HOUR).between(F.lit(span["first"]), F.lit(span["last"])))
+
+    curated = this_run("curated_scored", CURATED)
+    sinks.write_hourly(
+        training.training_dataset(curated).select(*RETRAINING.fieldNames()), f"{out}/retraining_dataset")
     sinks.write_hourly(
-        reconcile.hourly_monitoring(this_run).select(*MONITORING.fieldNames()), f"{out}/monitoring_hourly")
+        reconcile.hourly_monitoring(curated).select(*MONITORING.fieldNames()), f"{out}/monitoring_hourly")
+    counts = curated.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("is_label_available").alias("labelled")).first()
     return {
-        "silver_rows": read.get["rows"],
-        "curated_rows": stats["rows"],
-        "labelled_rows": stats["labelled"],
-        "retraining_rows": trained.get["rows"],
+        "silver_rows": span["rows"],
+        "curated_rows": counts["rows"],
+        "labelled_rows": counts["labelled"],
+        "retraining_rows": this_run("retraining_dataset", RETRAINING).count() if counts["labelled"] else 0,
+        "monitoring_rows": this_run("monitoring_hourly", MONITORING).count(),
     }
 
 

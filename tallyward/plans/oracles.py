@@ -13,7 +13,7 @@ FORMATS = {
     "t": f"strftime({{}}, {TS})",
     "d": "CAST({} AS VARCHAR)",
     "b": "CAST({} AS VARCHAR)",
-    "f": "round(CAST({} AS DOUBLE), 6)",
+    "f": "round(CAST({} AS DOUBLE) + 1e-9, 6)",
     "m": "round(CAST({} AS DOUBLE), 4)",
     "n": "CAST({} AS DOUBLE)",
     "i": "CAST({} AS BIGINT)",
@@ -220,12 +220,12 @@ SELECT count(transaction_key) AS total_transactions,
        count(*) FILTER (is_alert) AS alerted_transactions,
        count(*) FILTER (is_label_available AND is_fraud_label = 1 AND is_alert) AS real_fraud_alerted,
        count(*) FILTER (is_label_available AND is_fraud_label = 1 AND NOT is_alert) AS real_fraud_not_alerted,
-       round(CAST(count(*) FILTER (is_alert) AS DOUBLE) / count(*), 6) AS alert_share,
-       round(CAST(count(*) FILTER (is_label_available AND is_fraud_label = 1 AND is_alert) AS DOUBLE)
+       round(1e-9 + CAST(count(*) FILTER (is_alert) AS DOUBLE) / count(*), 6) AS alert_share,
+       round(1e-9 + CAST(count(*) FILTER (is_label_available AND is_fraud_label = 1 AND is_alert) AS DOUBLE)
              / count(*) FILTER (is_label_available AND is_fraud_label = 1), 6) AS real_fraud_alerted_share,
-       round(CAST(count(*) FILTER (is_label_available AND is_fraud_label = 1 AND NOT is_alert) AS DOUBLE)
+       round(1e-9 + CAST(count(*) FILTER (is_label_available AND is_fraud_label = 1 AND NOT is_alert) AS DOUBLE)
              / count(*) FILTER (is_label_available AND is_fraud_label = 1), 6) AS real_fraud_not_alerted_share,
-       round(CAST(count(*) FILTER (is_label_available) AS DOUBLE) / count(*), 6) AS label_coverage
+       round(1e-9 + CAST(count(*) FILTER (is_label_available) AS DOUBLE) / count(*), 6) AS label_coverage
 FROM fct"""
 
 DIGEST = ("md5(concat_ws('|', CAST(step AS VARCHAR), type, CAST(CAST(floor(amount * 100) AS BIGINT) AS VARCHAR), "
@@ -240,7 +240,7 @@ def missing_fk(dim: str, fk: str, pk: str) -> str:
 
 def top_accounts(side: str) -> str:
     return (f"(SELECT '{side}' AS side, {side}_account AS account, count(*) AS alert_count, "
-            f"round(avg(fraud_score), 6) AS avg_fraud_score FROM alerts GROUP BY {side}_account "
+            f"round(1e-9 + avg(fraud_score), 6) AS avg_fraud_score FROM alerts GROUP BY {side}_account "
             f"ORDER BY alert_count DESC, account LIMIT 10)")
 
 
@@ -354,7 +354,8 @@ FROM reconciled"""),
 SELECT 'silver_rows' AS metric, count(*) AS row_count FROM again
 UNION ALL SELECT 'curated_rows', count(*) FROM reconciled
 UNION ALL SELECT 'labelled_rows', count(*) FROM reconciled WHERE is_label_available
-UNION ALL SELECT 'retraining_rows', count(*) FROM reconciled WHERE is_label_available"""),
+UNION ALL SELECT 'retraining_rows', count(*) FROM reconciled WHERE is_label_available
+UNION ALL SELECT 'monitoring_rows', count(DISTINCT (date_trunc('hour', event_ts), type)) FROM reconciled"""),
     "stg_curated_scored": sql(FCT, f"SELECT {shown(STG)} FROM fct"),
     "stg_monitoring_hourly": sql([*CURATED, "monitoring"], f"""
 SELECT strftime(batch_hour_utc, {TS}) AS event_hour_utc, type AS transaction_type, txn_count AS transaction_count,
@@ -396,14 +397,14 @@ FROM (SELECT DISTINCT date_trunc('hour', event_ts) AS h FROM txn)"""),
     "dq_fk_type": sql(FCT, missing_fk("dim", "transaction_type_key", "transaction_type_key"),
                       "dim AS (SELECT DISTINCT transaction_type_key FROM fct WHERE is_fraud_label = 1)"),
     "parity_rowcount": sql([*CURATED, "doubled"], """
-SELECT a AS rows_a, b AS rows_b, round(CAST(abs(b - a) AS DOUBLE) / a, 6) AS relative_delta,
+SELECT a AS rows_a, b AS rows_b, round(1e-9 + CAST(abs(b - a) AS DOUBLE) / a, 6) AS relative_delta,
        CAST(CAST(abs(b - a) AS DOUBLE) / a <= 0.005 AS VARCHAR) AS within_limit
 FROM (SELECT (SELECT count(*) FROM curated) AS a, (SELECT count(*) FROM doubled) AS b)"""),
     "parity_kpi": sql([*MART, "doubled"], f"""
 SELECT strftime(coalesce(a.event_hour_utc, b.event_hour_utc), {TS}) AS event_hour_utc,
        coalesce(a.transaction_type, b.transaction_type) AS transaction_type,
-       round(a.observed_fraud_rate, 6) AS rate_a, round(b.observed_fraud_rate, 6) AS rate_b,
-       round(abs(coalesce(b.observed_fraud_rate, 0) - coalesce(a.observed_fraud_rate, 0)), 6) AS abs_delta,
+       round(1e-9 + a.observed_fraud_rate, 6) AS rate_a, round(1e-9 + b.observed_fraud_rate, 6) AS rate_b,
+       round(1e-9 + abs(coalesce(b.observed_fraud_rate, 0) - coalesce(a.observed_fraud_rate, 0)), 6) AS abs_delta,
        CAST(abs(coalesce(b.observed_fraud_rate, 0) - coalesce(a.observed_fraud_rate, 0))
             <= 0.01 * abs(coalesce(a.observed_fraud_rate, 0)) AS VARCHAR) AS within_limit
 FROM mart a FULL JOIN other_mart b
@@ -416,17 +417,17 @@ FROM mart a FULL JOIN other_mart b
     "alert_trend": sql(MART, f"""
 SELECT strftime(CAST(date_trunc('month', event_hour_utc) AS TIMESTAMP), {TS}) AS event_month, transaction_type,
        CAST(sum(alert_count) AS BIGINT) AS alert_count, CAST(sum(transaction_count) AS BIGINT) AS transaction_count,
-       round(CAST(sum(alert_count) AS DOUBLE) / CAST(sum(transaction_count) AS DOUBLE), 6) AS alert_rate
+       round(1e-9 + CAST(sum(alert_count) AS DOUBLE) / CAST(sum(transaction_count) AS DOUBLE), 6) AS alert_rate
 FROM mart GROUP BY date_trunc('month', event_hour_utc), transaction_type"""),
     "volume_vs_alerts": sql(MART, f"""
 SELECT strftime(event_hour_utc, {TS}) AS event_hour_utc, CAST(sum(transaction_count) AS BIGINT) AS transaction_count,
-       CAST(sum(alert_count) AS BIGINT) AS alert_count, round(avg(alert_rate_recomputed), 6) AS avg_alert_rate,
-       round(avg(avg_fraud_score), 6) AS avg_fraud_score, round(max(max_fraud_score), 6) AS max_fraud_score,
-       round(avg(p95_fraud_score), 6) AS avg_p95_fraud_score
+       CAST(sum(alert_count) AS BIGINT) AS alert_count, round(1e-9 + avg(alert_rate_recomputed), 6) AS avg_alert_rate,
+       round(1e-9 + avg(avg_fraud_score), 6) AS avg_fraud_score, round(1e-9 + max(max_fraud_score), 6) AS max_fraud_score,
+       round(1e-9 + avg(p95_fraud_score), 6) AS avg_p95_fraud_score
 FROM mart GROUP BY mart.event_hour_utc"""),
     "alerts_by_type": sql([*FCT, "alerts"], """
 SELECT transaction_type, count(*) AS alert_count,
-       round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM alerts), 6) AS share
+       round(1e-9 + CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM alerts), 6) AS share
 FROM alerts GROUP BY transaction_type"""),
     "top_risky_accounts": sql([*FCT, "alerts"], top_accounts("origin") + " UNION ALL " + top_accounts("destination")),
     "alert_drill": sql([*FCT, "alerts"], "SELECT " + shown(
@@ -440,10 +441,10 @@ FROM again GROUP BY source_topic, source_partition"""),
 SELECT {shown(SHOWN)} FROM (SELECT * FROM scored WHERE is_alert ORDER BY event_ts DESC, source_offset LIMIT 20)"""),
     "class_weights": sql(["txn"], """
 SELECT f AS fraud_count, n AS nonfraud_count, f + n AS total_count,
-       round((f + n) / (2.0 * f), 6) AS fraud_weight, round((f + n) / (2.0 * n), 6) AS nonfraud_weight
+       round(1e-9 + (f + n) / (2.0 * f), 6) AS fraud_weight, round(1e-9 + (f + n) / (2.0 * n), 6) AS nonfraud_weight
 FROM (SELECT greatest(count(*) FILTER (isFraud = 1), 1) AS f, greatest(count(*) FILTER (isFraud = 0), 1) AS n FROM txn)"""),
     "training_dataset": sql([*CURATED], "SELECT " + shown(SHOWN + " isFraud label_delay_hours:f") + """,
-       round(CAST((SELECT count(isFraud) FROM curated) AS DOUBLE) / (2.0 * (CASE WHEN isFraud = 1
+       round(1e-9 + CAST((SELECT count(isFraud) FROM curated) AS DOUBLE) / (2.0 * (CASE WHEN isFraud = 1
          THEN (SELECT greatest(count(*), 1) FROM curated WHERE isFraud = 1)
          ELSE (SELECT greatest(count(*), 1) FROM curated WHERE isFraud = 0) END)), 6) AS class_weight
 FROM curated WHERE is_label_available"""),
@@ -461,7 +462,7 @@ SELECT {shown(KEYS)}, isFraud FROM (SELECT *, {DIGEST} AS digest FROM txn ORDER
     "envelope_decode": sql(["txn", "raw", "received"], """
 SELECT source_topic, source_partition, source_offset, kafka_ingest_ts, CAST(step AS VARCHAR) AS step,
        CASE WHEN event_id % 89 = 0 THEN '' WHEN event_id % 79 = 0 AND type = 'CASH_OUT' THEN 'CASH-OUT' ELSE type END AS type,
-       CASE WHEN event_id % 97 <> 0 THEN round(amount, 6) END AS amount, nameOrig, nameDest, event_emitted_at_utc
+       CASE WHEN event_id % 97 <> 0 THEN round(amount + 1e-9, 6) END AS amount, nameOrig, nameDest, event_emitted_at_utc
 FROM received"""),
     "envelope_quarantine": sql(["txn"], """
 SELECT source_topic, source_partition, source_offset, 40 AS message_length FROM txn WHERE event_id % 71 = 0"""),
@@ -474,7 +475,7 @@ SELECT md5(concat_ws('|', source_topic, source_partition, source_offset)) AS key
 SELECT source_offset, subject, {MESSAGE_BODY.format(amount=plain("amount"), score=plain("fraud_score"))} AS body,
        subject AS payload_subject, nameDest AS payload_destination
 FROM (SELECT *, '[Fraud Alert] ' || type || ' from ' || nameOrig || ' score=' || printf('%.4f', fraud_score) AS subject
-      FROM scored WHERE is_alert)"""),
+      FROM (SELECT * REPLACE (fraud_score / CAST(1.0007 AS DOUBLE) AS fraud_score) FROM scored WHERE is_alert))"""),
     "lake_read_formats": sql(["txn", "scored"], each_of(shown(LAKE), "scored", "format", ["parquet", "json", "csv"])),
     "load_layouts": sql(CURATED, each_of(
         shown("source_offset type amount:f batch_hour_utc:t"), "curated", "layout", ["by_hour", "nested", "flat"])),
