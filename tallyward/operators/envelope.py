@@ -25,12 +25,14 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     missing from the payload become empty text; the event time falls back to the envelope's.
     """
     value = F.col("value").cast("string")
-    parsed = messages.withColumns({
-        # from_json stops after the first complete value, so the whole text is checked as well.
-        "_whole": F.try_parse_json(value).isNotNull(),
-        "_envelope": F.from_json(value, ENVELOPE),
-    })
-    payload = F.col("_envelope.payload")
+    # from_json stops after the first complete value, so the text is read as the only
+    # element of an array: anything after the object then breaks the array or adds to it.
+    wrapped = F.concat(F.lit("["), value, F.lit("]"))
+    parsed = messages.withColumn(
+        "_envelopes", F.from_json(wrapped, T.ArrayType(ENVELOPE), {"allowSingleQuotes": "false"}))
+    envelope = F.get("_envelopes", F.lit(0))
+    payload = envelope["payload"]
+    valid = (F.size("_envelopes") == 1) & payload.isNotNull() & F.rtrim(value).endswith("}")
     columns = {
         "source_topic": F.coalesce(F.col("topic"), F.lit(DEFAULT_TOPIC)),
         "source_partition": F.coalesce(F.col("partition").cast("string"), F.lit("0")),
@@ -38,11 +40,11 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         "kafka_ingest_ts": F.coalesce(F.col("timestamp").cast("string"), F.lit("")),
         **{name: F.coalesce(payload[name], F.lit("")) for name in PAYLOAD_FIELDS},
         "event_emitted_at_utc": F.coalesce(
-            payload["event_emitted_at_utc"], F.col("_envelope.emitted_at_utc"), F.lit("")),
+            payload["event_emitted_at_utc"], envelope["emitted_at_utc"], F.lit("")),
     }
     return parsed.select(
         *[columns[name].alias(name) for name in MICRO_BATCH.fieldNames()],
-        (F.col("_whole") & payload.isNotNull()).alias("_valid"),
+        F.coalesce(valid, F.lit(False)).alias("_valid"),
         value.alias("value"),
     )
 
@@ -50,10 +52,9 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 def decode_envelopes(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(decoded rows, quarantined messages)."""
     parsed = parse_messages(messages)
-    valid = F.coalesce("_valid", F.lit(False))
     return (
-        parsed.where(valid).select(*MICRO_BATCH.fieldNames()),
-        parsed.where(~valid).select(*SOURCE_ID, "kafka_ingest_ts", "value"),
+        parsed.where("_valid").select(*MICRO_BATCH.fieldNames()),
+        parsed.where("not _valid").select(*SOURCE_ID, "kafka_ingest_ts", "value"),
     )
 
 

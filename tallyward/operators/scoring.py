@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import coercion as C
-from tallyward.operators.skew import HOT_ROWS, key_load, spread_join
 from tallyward.schemas import JOIN_KEYS, MONEY
 
 # Default thresholds of the alert rules and the velocity bucket.
@@ -18,6 +17,9 @@ VELOCITY_THRESHOLD = 5
 VELOCITY_SECONDS = 300
 OUTGOING_TYPES = ["TRANSFER", "CASH_OUT"]
 
+# An account with more transactions than this in one time bucket is split.
+HOT_ACCOUNT_ROWS = 4_000_000
+
 
 def coerce_keys(df: DataFrame) -> DataFrame:
     """Type the nine business columns: numbers default to 0, text to ``UNKNOWN``."""
@@ -38,21 +40,32 @@ def time_slot(ts: Column, seconds: int = VELOCITY_SECONDS) -> Column:
     return F.floor(F.unix_timestamp(ts) / F.lit(seconds))
 
 
-def add_velocity(df: DataFrame, seconds: int = VELOCITY_SECONDS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def add_velocity(df: DataFrame, seconds: int = VELOCITY_SECONDS, hot_rows: int = HOT_ACCOUNT_ROWS) -> DataFrame:
     """Transactions of the same origin account in the same time bucket, on every row.
 
     Counted by a map-side-combined aggregate and joined back, because a window over
-    (account, bucket) would hold a hot account's rows in one task.
+    (account, bucket) would hold a hot account's rows in one task. A count above
+    ``hot_rows`` is copied once per piece of that size, and the rows it belongs to are
+    spread over the pieces by a hash of their other columns.
     """
+    key = ["_account", "_slot"]
     slotted = df.withColumns({
         "_account": F.coalesce("nameOrig", F.lit(C.UNKNOWN)),
         "_slot": F.coalesce(time_slot(F.col("event_ts"), seconds), F.lit(-1)),
     })
-    key = ["_account", "_slot"]
-    counts = slotted.groupBy(*key).agg(F.count(F.lit(1)).cast("double").alias("velocity_5min"))
-    load = key_load(counts, key, F.col("velocity_5min"))
-    joined = spread_join(slotted, counts, key, "left", load, hot_rows)
-    return joined.select(*df.columns, "velocity_5min")
+    counts = (
+        slotted.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_pieces", F.ceil(F.col("_n") / F.lit(hot_rows)))
+    )
+    # Each row here stands for over hot_rows input rows, so its size is bounded by their number.
+    hot = F.broadcast(counts.where(F.col("_n") > hot_rows).select(*key, "_pieces"))
+    rest = F.xxhash64(*[F.col(c) for c in df.columns])
+    salt = F.when(F.col("_pieces").isNotNull(), F.pmod(rest, F.col("_pieces"))).otherwise(F.lit(0))
+    salted = slotted.join(hot, key, "left").withColumn("_salt", salt).drop("_pieces")
+    copies = counts.select(
+        *key, F.col("_n").cast("double").alias("velocity_5min"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1)).alias("_salt"))
+    return salted.join(copies, [*key, "_salt"], "left").select(*df.columns, "velocity_5min")
 
 
 def balance_features() -> dict[str, Column]:

@@ -27,13 +27,16 @@ def class_weights(df: DataFrame) -> DataFrame:
     )
 
 
+def weight_of(fraud_weight: Column, nonfraud_weight: Column) -> Column:
+    return F.when(F.col("isFraud") == 1, fraud_weight).otherwise(nonfraud_weight)
+
+
 def with_class_weight(df: DataFrame) -> DataFrame:
     """Add ``class_weight`` through a scalar subquery: no join and no driver round trip."""
     weights = class_weights(df).select(F.struct("fraud_weight", "nonfraud_weight").alias("w")).scalar()
     return (
         df.withColumn("_weights", weights)
-        .withColumn("class_weight", F.when(F.col("isFraud") == 1, F.col("_weights.fraud_weight"))
-                    .otherwise(F.col("_weights.nonfraud_weight")))
+        .withColumn("class_weight", weight_of(F.col("_weights.fraud_weight"), F.col("_weights.nonfraud_weight")))
         .drop("_weights")
     )
 

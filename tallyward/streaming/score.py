@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyward.operators import scoring
 from tallyward.operators.envelope import encode_envelopes, parse_messages
 from tallyward.operators.model import score
-from tallyward.schemas import BRONZE, MICRO_BATCH, SILVER, SOURCE_ID
+from tallyward.schemas import BRONZE, SILVER, SOURCE_ID
 from tallyward.sources.events import IDLE_SECONDS, trigger
 from tallyward.sources.sinks import compact
 
@@ -140,8 +140,7 @@ def score_stream(
     Decoding and typing run in the stream, where the time a blank event time falls back to
     is fixed per micro-batch; velocity counts within the micro-batch.
     """
-    parsed = parse_messages(messages).withColumn("_valid", F.coalesce("_valid", F.lit(False)))
-    typed = scoring.coerce(parsed.select(*MICRO_BATCH.fieldNames(), "_valid", "value"), settings.as_of)
+    typed = scoring.coerce(parse_messages(messages), settings.as_of)
     return (
         typed.writeStream.queryName("score_stream")
         .option("checkpointLocation", sinks.checkpoint)
