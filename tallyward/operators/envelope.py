@@ -32,7 +32,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         "_envelopes", F.from_json(wrapped, T.ArrayType(ENVELOPE), {"allowSingleQuotes": "false"}))
     envelope = F.get("_envelopes", F.lit(0))
     payload = envelope["payload"]
-    valid = (F.size("_envelopes") == 1) & payload.isNotNull() & F.rtrim(value).endswith("}")
+    valid = (F.size("_envelopes") == 1) & payload.isNotNull() & F.rtrim(value, F.lit(" \t\r\n")).endswith("}")
     columns = {
         "source_topic": F.coalesce(F.col("topic"), F.lit(DEFAULT_TOPIC)),
         "source_partition": F.coalesce(F.col("partition").cast("string"), F.lit("0")),
