@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallyward.functions.coercion import moment, plain_number
 from tallyward.functions.keys import TIMESTAMP_TEXT, joined_key, timestamp_text
-from tallyward.schemas import ENVELOPE, MICRO_BATCH, PAYLOAD_FIELDS, SOURCE_ID
+from tallyward.schemas import ENVELOPE, MICRO_BATCH, PAYLOAD_FIELDS, SILVER, SOURCE_ID
 
 # Names that appear inside published envelopes.
 SCHEMA_VERSION = "1.0"
@@ -92,6 +92,18 @@ def encode_envelopes(
     return df.select(event_id.alias("key"), value.alias("value"))
 
 
+def decode_alerts(messages: DataFrame) -> DataFrame:
+    """Alert rows out of published envelopes, with the envelope's own fields in front."""
+    schema = T.StructType([f for f in ENVELOPE.fields if f.name != "payload"] + [T.StructField("payload", SILVER)])
+    read = F.from_json(F.col("value").cast("string"), schema, {"timestampFormat": TIMESTAMP_TEXT})
+    return (
+        messages.select(read.alias("_envelope"))
+        .where(F.col("_envelope.payload").isNotNull())
+        .select("_envelope.schema_version", "_envelope.event_id", "_envelope.event_type",
+                F.col("_envelope.source").alias("source"), "_envelope.emitted_at_utc", "_envelope.payload.*")
+    )
+
+
 def _shown(df: DataFrame, name: str, missing: str) -> Column:
     if name not in df.columns:
         return F.lit(missing)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.functions.coercion import moment
+from tallyward.functions.coercion import blank_to_null, moment
 from tallyward.functions.keys import hour_of
 from tallyward.operators.skew import HOT_ROWS, key_load, spread_join
 from tallyward.schemas import HOUR, JOIN_KEYS, SOURCE_ID
@@ -56,6 +56,24 @@ def filter_hour(df: DataFrame, hour: str | None = None, ts: str = "event_ts") ->
     return df.where((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(start + timedelta(hours=1))))
 
 
+def lacks_event_time() -> Column:
+    """True for rows whose ``event_ts`` is the time they were processed."""
+    return F.try_to_timestamp(blank_to_null(F.col("event_emitted_at_utc"))).isNull()
+
+
+def repeats_elsewhere(silver: DataFrame, hour: str) -> DataFrame:
+    """Rows outside ``hour`` that repeat a message of that hour.
+
+    Only a message without an event time can be stamped with two hours when it is delivered
+    twice, so only the identities of such messages are looked for in the rest of silver.
+    """
+    suspects = filter_hour(silver, hour).where(lacks_event_time()).select(*SOURCE_ID).distinct()
+    start = parse_hour(hour)
+    outside = silver.where(
+        (F.col("event_ts") < F.lit(start)) | (F.col("event_ts") >= F.lit(start + timedelta(hours=1))))
+    return outside.where(lacks_event_time()).join(suspects, SOURCE_ID, "left_semi").select(*silver.columns)
+
+
 def require_rows(df: DataFrame, message: str = "No scored transactions found for the selected window.") -> None:
     if df.isEmpty():
         raise ValueError(message)

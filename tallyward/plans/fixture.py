@@ -19,8 +19,14 @@ TYPES = {"purchase": "TRANSFER", "signup": "CASH_OUT", "click": "PAYMENT", "view
 AS_OF = datetime(2024, 2, 1, tzinfo=timezone.utc)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+# Stated here so that opening a table reads no footers.
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+CUSTOMER = "c_custkey bigint, c_acctbal double"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    reader = configure(spark).read
+    return (reader.schema(schema) if schema else reader).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,56 +34,44 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Time runs 60 times faster than in ``events``, so that accounts repeat within 5 minutes.
     """
-    events = table(spark, sf_dir, "events")
-    customer = table(spark, sf_dir, "customer")
-    wealth = F.greatest(F.coalesce(F.col("balance"), F.lit(0.0)), F.lit(0.0)) * 100
-    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-    events = events.select(
-        "event_id", "user_id", "event_type", "value", k.alias("k"),
-        ((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(BASE_MICROS)) / 60).alias("_f"),
-        F.expr(f"(unix_micros(cast(ts as timestamp)) - {BASE_MICROS}) div 60").alias("cus"),
-    ).drop("_f")
-    payer = customer.select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("balance"))
-    # k has two digits and c_custkey is the primary key, so this side has at most 100 rows.
-    payee = customer.where(F.col("c_custkey").between(0, 99)).select(
-        F.col("c_custkey").cast("int").alias("k"), F.col("c_acctbal").alias("balance"))
-    joined = (
-        events.join(payer, "user_id", "left").withColumn("oldbalanceOrg", wealth).drop("balance")
-        .join(F.broadcast(payee), "k", "left").withColumn("_payee", wealth).drop("balance")
-    )
-    merchant = F.col("k") % 3 == 0
-    kind = F.element_at(F.create_map(*[F.lit(x) for pair in TYPES.items() for x in pair]), F.col("event_type"))
-    shaped = joined.select(
-        F.lit("transactions_raw").alias("source_topic"),
-        (F.col("event_id") % 4).cast("string").alias("source_partition"),
-        F.col("event_id").cast("string").alias("source_offset"),
-        F.timestamp_micros(F.lit(BASE_MICROS) + F.col("cus")).alias("event_ts"),
-        F.expr("cast(cus div 3600000000 as int)").alias("step"),
-        kind.alias("type"),
-        (F.col("value") * 2000.0).alias("amount"),
-        F.concat(F.lit("C"), F.expr("cast(user_id div 4 as string)")).alias("nameOrig"),
-        "oldbalanceOrg",
-        F.when(merchant, F.concat(F.lit("M"), F.col("k").cast("string")))
-        .otherwise(F.concat(F.lit("C"), F.expr("cast(k div 4 as string)"))).alias("nameDest"),
-        F.when(merchant, F.lit(0.0)).otherwise(F.col("_payee")).alias("oldbalanceDest"),
-        "k", "event_id",
+    events = table(spark, sf_dir, "events", EVENTS).selectExpr(
+        "event_id", "user_id", "event_type", "value",
+        "cast(regexp_extract(props, '[0-9]+', 0) as int) as k",
+        f"(unix_micros(cast(ts as timestamp)) - {BASE_MICROS}) div 60 as cus",
     )
-    amount = F.col("amount")
-    label = (
-        F.when(F.col("event_id") % 10 == 0, F.lit(None))
-        .when(F.col("type").isin(scoring.OUTGOING_TYPES) & (amount >= 150000) & (F.col("k") % 2 == 0), F.lit(1.0))
-        .otherwise(F.lit(0.0)).cast("double")
+    customer = table(spark, sf_dir, "customer", CUSTOMER)
+    # k has two digits and c_custkey is the primary key, so the payee side has at most 100 rows.
+    # The payer side is left to Spark, which broadcasts it by size or splits hot users.
+    payer = customer.selectExpr("c_custkey as user_id", "c_acctbal as payer_balance")
+    payee = customer.where("c_custkey between 0 and 99").selectExpr(
+        "cast(c_custkey as int) as k", "c_acctbal as payee_balance")
+    joined = events.join(payer, "user_id", "left").join(F.broadcast(payee), "k", "left")
+    kinds = " ".join(f"when '{kind}' then '{code}'" for kind, code in TYPES.items())
+    shaped = joined.selectExpr(
+        "event_id", "k",
+        "'transactions_raw' as source_topic",
+        "cast(event_id % 4 as string) as source_partition",
+        "cast(event_id as string) as source_offset",
+        f"timestamp_micros({BASE_MICROS} + cus) as event_ts",
+        "cast(cus div 3600000000 as int) as step",
+        f"case event_type {kinds} end as type",
+        "value * 2000D as amount",
+        "concat('C', cast(user_id div 4 as string)) as nameOrig",
+        "case when k % 3 = 0 then concat('M', cast(k as string)) else concat('C', cast(k div 4 as string)) end as nameDest",
+        "greatest(coalesce(payer_balance, 0D), 0D) * 100D as oldbalanceOrg",
+        "case when k % 3 = 0 then 0D else greatest(coalesce(payee_balance, 0D), 0D) * 100D end as oldbalanceDest",
     )
-    ts_text = F.date_format("event_ts", TIMESTAMP_TEXT)
-    return shaped.select(
+    return shaped.selectExpr(
         "source_topic", "source_partition", "source_offset",
-        ts_text.alias("kafka_ingest_ts"), ts_text.alias("event_emitted_at_utc"), "event_ts",
-        "step", "type", amount, "nameOrig", "nameDest", "oldbalanceOrg",
-        F.greatest(F.col("oldbalanceOrg") - amount, F.lit(0.0)).alias("newbalanceOrig"),
-        "oldbalanceDest",
-        F.when(F.col("k") % 3 == 0, F.lit(0.0)).otherwise(F.col("oldbalanceDest") + amount).alias("newbalanceDest"),
-        F.least(F.lit(1.0), amount / 400000.0).alias("fraud_score"),
-        label.alias("isFraud"),
+        f"date_format(event_ts, '{TIMESTAMP_TEXT}') as kafka_ingest_ts",
+        f"date_format(event_ts, '{TIMESTAMP_TEXT}') as event_emitted_at_utc",
+        "event_ts", "step", "type", "amount", "nameOrig", "nameDest",
+        "oldbalanceOrg", "greatest(oldbalanceOrg - amount, 0D) as newbalanceOrig",
+        "oldbalanceDest", "case when k % 3 = 0 then 0D else oldbalanceDest + amount end as newbalanceDest",
+        "least(1D, amount / 400000D) as fraud_score",
+        """case when event_id % 10 = 0 then cast(null as double)
+                when type in ('TRANSFER', 'CASH_OUT') and amount >= 150000 and k % 2 = 0 then 1D
+                else 0D end as isFraud""",
     )
 
 

@@ -14,7 +14,7 @@ from tallyward.functions.keys import hour_of
 from tallyward.operators import quality, reconcile, training, warehouse
 from tallyward.operators.model import Trained, refresh, train_baseline
 from tallyward.plans.durable import durable
-from tallyward.schemas import CURATED, HOUR, MONITORING, RETRAINING
+from tallyward.schemas import CURATED, HOUR, MONITORING, RETRAINING, SOURCE_ID
 from tallyward.sources import lake, sinks
 
 # Names of the hourly outputs and of the warehouse tables.
@@ -39,16 +39,21 @@ def hourly(
     """
     as_of = as_of or datetime.now(timezone.utc)
     window = reconcile.filter_hour(silver, target_hour)
+    identified = set(SOURCE_ID) <= set(silver.columns)
     span = window.agg(
         F.count(F.lit(1)).alias("rows"),
+        (F.count_if(reconcile.lacks_event_time()) if identified else F.lit(0)).alias("untimed"),
         F.min(hour_of(F.col("event_ts"))).alias("first"),
         F.max(hour_of(F.col("event_ts"))).alias("last"),
     ).first()
     if not span["rows"]:
         raise ValueError("No scored transactions found for the selected window.")
+    delivered = window
+    if target_hour and span["untimed"]:
+        delivered = window.unionByName(reconcile.repeats_elsewhere(silver, target_hour))
+    scored = reconcile.filter_hour(reconcile.dedup_scored(delivered), target_hour)
     joined = reconcile.reconcile(
-        reconcile.dedup_scored(window), reconcile.dedup_labels(labels), as_of,
-        load=reconcile.business_key_load(window))
+        scored, reconcile.dedup_labels(labels), as_of, load=reconcile.business_key_load(window))
     sinks.write_hourly(reconcile.with_hour(joined).select(*CURATED.fieldNames()), f"{out}/curated_scored")
 
     def this_run(name: str, schema: T.StructType) -> DataFrame:

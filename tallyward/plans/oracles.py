@@ -467,7 +467,7 @@ FROM received"""),
     "envelope_quarantine": sql(["txn"], """
 SELECT source_topic, source_partition, source_offset, 40 AS message_length FROM txn WHERE event_id % 71 = 0"""),
     "alert_envelopes": sql(["txn", "scored"], """
-SELECT md5(concat_ws('|', source_topic, source_partition, source_offset)) AS key, '1.0' AS schema_version,
+SELECT '1.0' AS schema_version,
        md5(concat_ws('|', source_topic, source_partition, source_offset)) AS event_id, 'fraud.alert' AS event_type,
        'tallyward.score_stream' AS source, '2024-02-01T00:00:00.000000+00:00' AS emitted_at_utc, type AS transaction_type, """
         + shown(SILVER.replace(" type ", " ")) + " FROM scored WHERE is_alert"),

@@ -179,16 +179,21 @@ def _stg(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.stg_curated(fx.curated(spark, sf))
 
 
-def _stg_mon(spark: SparkSession, sf: str) -> DataFrame:
-    return warehouse.stg_monitoring(reconcile.hourly_monitoring(fx.curated(spark, sf)))
+def _monitoring_of(curated: DataFrame) -> DataFrame:
+    return warehouse.stg_monitoring(reconcile.hourly_monitoring(curated))
+
+
+def _fct_of(curated: DataFrame) -> DataFrame:
+    return warehouse.fct_scored(warehouse.stg_curated(curated))
 
 
 def _fct(spark: SparkSession, sf: str) -> DataFrame:
-    return warehouse.fct_scored(_stg(spark, sf))
+    return _fct_of(fx.curated(spark, sf))
 
 
 def _mart(spark: SparkSession, sf: str) -> DataFrame:
-    return warehouse.mart_kpis(_fct(spark, sf), _stg_mon(spark, sf))
+    curated = fx.curated(spark, sf)
+    return warehouse.mart_kpis(_fct_of(curated), _monitoring_of(curated))
 
 
 def _label_as_double(df: DataFrame) -> DataFrame:
@@ -200,7 +205,7 @@ def stg_curated_scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stg_monitoring_hourly(spark: SparkSession, sf: str) -> DataFrame:
-    return comparable(_stg_mon(spark, sf))
+    return comparable(_monitoring_of(fx.curated(spark, sf)))
 
 
 def dim_account(spark: SparkSession, sf: str) -> DataFrame:
@@ -243,8 +248,8 @@ def _tables(stg: DataFrame, stg_mon: DataFrame) -> dict[str, DataFrame]:
 
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
     """Over data with messages delivered twice, so that the fact's key must be reported."""
-    doubled = warehouse.stg_curated(fx.with_duplicates(fx.curated(spark, sf)))
-    tables = _tables(doubled, _stg_mon(spark, sf))
+    curated = fx.curated(spark, sf)
+    tables = _tables(warehouse.stg_curated(fx.with_duplicates(curated)), _monitoring_of(curated))
     return comparable(_tagged({
         name: quality.check_unique(tables[name], keys).select(
             F.col(keys[0]).cast("string").alias("key"), "row_count")
@@ -255,8 +260,9 @@ def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
 def dq_nonnull(spark: SparkSession, sf: str) -> DataFrame:
     """Over data with some transaction types missing."""
     n = F.col("source_offset").cast("bigint")
-    holed = fx.curated(spark, sf).withColumn("type", F.when(n % 89 != 0, F.col("type")))
-    tables = _tables(warehouse.stg_curated(holed), _stg_mon(spark, sf))
+    curated = fx.curated(spark, sf)
+    holed = curated.withColumn("type", F.when(n % 89 != 0, F.col("type")))
+    tables = _tables(warehouse.stg_curated(holed), _monitoring_of(curated))
     return _tagged({
         name: quality.null_counts(tables[name], cols) for name, cols in quality.NOT_NULL.items()
     }, "table_name")
@@ -284,16 +290,17 @@ def dq_fk_type(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parity_rowcount(spark: SparkSession, sf: str) -> DataFrame:
-    doubled = warehouse.fct_scored(warehouse.stg_curated(fx.with_duplicates(fx.curated(spark, sf))))
-    return comparable(quality.parity_rowcount(_fct(spark, sf), doubled))
+    curated = fx.curated(spark, sf)
+    return comparable(quality.parity_rowcount(_fct_of(curated), _fct_of(fx.with_duplicates(curated))))
 
 
 def parity_kpi(spark: SparkSession, sf: str) -> DataFrame:
     """Against a build that counted some messages twice and has no debits."""
-    other = warehouse.fct_scored(warehouse.stg_curated(
-        fx.with_duplicates(fx.curated(spark, sf)).where(F.col("type") != "DEBIT")))
+    curated = fx.curated(spark, sf)
+    monitoring = _monitoring_of(curated)
+    other = _fct_of(fx.with_duplicates(curated).where(F.col("type") != "DEBIT"))
     return comparable(quality.parity_kpi(
-        _mart(spark, sf), warehouse.mart_kpis(other, _stg_mon(spark, sf))))
+        warehouse.mart_kpis(_fct_of(curated), monitoring), warehouse.mart_kpis(other, monitoring)))
 
 
 def schema_contract(spark: SparkSession, sf: str) -> DataFrame:
@@ -444,22 +451,15 @@ def alert_envelopes(spark: SparkSession, sf: str) -> DataFrame:
     """Published alerts, read back from their JSON."""
     alerts = fx.silver(spark, sf).where("is_alert")
     published = envelope.encode_envelopes(alerts, emitted_at=fx.AS_OF)
-    schema = T.StructType([
-        T.StructField(name, T.StringType()) for name in
-        ["schema_version", "event_id", "event_type", "source", "emitted_at_utc"]
-    ] + [T.StructField("payload", SILVER)])
-    read = published.select("key", F.from_json("value", schema, {
-        "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}).alias("e"))
-    return comparable(read.select(
-        "key", "e.schema_version", "e.event_id", "e.event_type", "e.source", "e.emitted_at_utc", "e.payload.*"
-    ).withColumnRenamed("type", "transaction_type"))
+    return comparable(envelope.decode_alerts(published).withColumnRenamed("type", "transaction_type"))
 
 
 def alert_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Scores are moved off the grid of the test data, where four places would often fall
     on a half-way case that the engines print differently."""
     alerts = fx.silver(spark, sf).where("is_alert").withColumn("fraud_score", F.col("fraud_score") / 1.0007)
-    return envelope.alert_messages(alerts).select(
+    received = envelope.decode_alerts(envelope.encode_envelopes(alerts, emitted_at=fx.AS_OF))
+    return envelope.alert_messages(received.select(*SILVER.fieldNames())).select(
         "source_offset", "subject", "body",
         F.get_json_object("payload", "$.subject").alias("payload_subject"),
         F.get_json_object("payload", "$.alert.nameDest").alias("payload_destination"))

@@ -77,27 +77,42 @@ def test_stream_over_several_batches_equals_the_batch_operators(spark, sf, path)
     assert len({p["event_id"] for p in published}) == len(published)
 
 
-def test_a_batch_that_fails_between_sinks_is_written_once(spark, sf, path):
+@pytest.mark.parametrize("sink", ["silver", "bronze", "gold", "events"])
+def test_a_batch_that_fails_after_a_sink_is_written_once(spark, sf, path, monkeypatch, sink):
+    """The second batch breaks off right after one of its sinks and is then repeated."""
+    import tallyward.streaming.score as module
+
     feed(spark, sf, path, files=2)
-    bombs = [True]
+    settings = Settings(available_now=True, as_of=fixture.AS_OF)
+    real, real_events, calls = module.compact, module._write_events, []
 
-    def fragile(df):
-        return fixture.surrogate_score(df)
+    def compact(df, files):
+        # Per batch: silver, bronze, gold. The write after the chosen sink fails once.
+        calls.append(1)
+        if len(calls) == 3 + {"silver": 2, "bronze": 3}.get(sink, 99):
+            raise RuntimeError("lost")
+        return real(df, files)
 
-    def explode(marks):
-        if marks["batch_id"] == 1 and bombs:
-            bombs.pop()
+    def write_events(alerts, sinks, at):
+        if sink == "gold" and at.endswith("=1"):
+            raise RuntimeError("lost")
+        real_events(alerts, sinks, at)
+        if sink == "events" and at.endswith("=1"):
             raise RuntimeError("lost")
 
-    settings = Settings(available_now=True, as_of=fixture.AS_OF, on_batch=explode)
-    with pytest.raises(StreamingQueryException):
-        run(spark, path, settings, scorer=fragile)
-    assert silver_rows(spark, path).count() == 985
-    run(spark, path, settings, scorer=fragile)
+    with monkeypatch.context() as broken:
+        broken.setattr(module, "compact", compact)
+        broken.setattr(module, "_write_events", write_events)
+        with pytest.raises(StreamingQueryException):
+            run(spark, path, settings)
+    run(spark, path, settings)
     silver = silver_rows(spark, path)
     assert silver.count() == 985 and silver.select(*SOURCE_ID).distinct().count() == 985
+    assert spark.read.parquet(f"{path}/bronze").count() == 985
+    alerts = silver.where("is_alert").count()
+    assert lake.read_alerts(spark, f"{path}/gold").count() == alerts
+    assert spark.read.option("recursiveFileLookup", "true").text(f"{path}/events").count() == alerts
     assert len(glob.glob(f"{path}/silver/run=*")) == 1
-    assert spark.read.option("recursiveFileLookup", "true").text(f"{path}/events").count() == silver.where("is_alert").count()
 
 
 def test_gold_stays_unwritten_without_alerts_and_files_are_bounded(spark, path):
