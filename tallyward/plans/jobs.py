@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,9 +100,12 @@ class Warehouse:
     violations: dict[str, DataFrame]
 
     def failed(self) -> dict[str, int]:
-        """Number of violating rows per failed assertion."""
-        counts = {name: rows.count() for name, rows in self.violations.items()}
-        return {name: n for name, n in counts.items() if n}
+        """Number of violating rows per failed assertion, from one Spark job over all checks."""
+        counts = [
+            rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+            for name, rows in self.violations.items()
+        ]
+        return {r["name"]: r["n"] for r in reduce(DataFrame.unionByName, counts).where("n > 0").collect()}
 
 
 def assertions(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -175,6 +175,11 @@ def batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- warehouse -------------------------------------------------------------------------
 
+def _stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The curated table as a job finds it: written, for models that read it wide or often."""
+    return durable(fx.curated(spark, sf), "curated")
+
+
 def _stg(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.stg_curated(fx.curated(spark, sf))
 
@@ -201,7 +206,7 @@ def _label_as_double(df: DataFrame) -> DataFrame:
 
 
 def stg_curated_scored(spark: SparkSession, sf: str) -> DataFrame:
-    return comparable(_label_as_double(_stg(spark, sf)))
+    return comparable(_label_as_double(warehouse.stg_curated(_stored(spark, sf))))
 
 
 def stg_monitoring_hourly(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,7 +226,7 @@ def dim_time_hour(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fct_scored_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    return comparable(_label_as_double(_fct(spark, sf)))
+    return comparable(_label_as_double(_fct_of(_stored(spark, sf))))
 
 
 def fct_fraud_alerts(spark: SparkSession, sf: str) -> DataFrame:
@@ -305,7 +310,7 @@ def parity_kpi(spark: SparkSession, sf: str) -> DataFrame:
 
 def schema_contract(spark: SparkSession, sf: str) -> DataFrame:
     """A fact that lacks one column and has another of the wrong type."""
-    drifted = _fct(spark, sf).drop("label_delay_hours").withColumn("step", F.col("step").cast("int"))
+    drifted = _fct_of(_stored(spark, sf)).drop("label_delay_hours").withColumn("step", F.col("step").cast("int"))
     return comparable(quality.check_schema(drifted, FCT_SCORED))
 
 
@@ -339,7 +344,7 @@ def top_risky_accounts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alert_drill(spark: SparkSession, sf: str) -> DataFrame:
-    fct = _fct(spark, sf)
+    fct = _fct_of(_stored(spark, sf))
     return comparable(_label_as_double(reports.alert_drill(fct, warehouse.fct_alerts(fct))))
 
 
@@ -437,13 +442,13 @@ def model_refresh(spark: SparkSession, sf: str) -> DataFrame:
 # --- envelopes -------------------------------------------------------------------------
 
 def envelope_decode(spark: SparkSession, sf: str) -> DataFrame:
-    valid, _ = envelope.decode_envelopes(fx.messages(spark, sf))
+    valid, _ = envelope.decode_envelopes(durable(fx.messages(spark, sf), "messages"))
     return comparable(valid.withColumn("amount", F.col("amount").try_cast("double")).select(
         *SOURCE_ID, "kafka_ingest_ts", "step", "type", "amount", "nameOrig", "nameDest", "event_emitted_at_utc"))
 
 
 def envelope_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    _, bad = envelope.decode_envelopes(fx.messages(spark, sf))
+    _, bad = envelope.decode_envelopes(durable(fx.messages(spark, sf), "messages"))
     return bad.select(*SOURCE_ID, F.length("value").alias("message_length"))
 
 

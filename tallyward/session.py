@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # HotSpot leaves longer methods uncompiled; wide rows run faster outside such a stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
