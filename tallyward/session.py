@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
@@ -15,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A join whose measured build partitions are this small is hashed and needs no sort.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # HotSpot leaves longer methods uncompiled; wide rows run faster outside such a stage.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
@@ -28,14 +28,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def get_spark(app_name: str = "tallyward", shuffle_partitions: int | None = None) -> SparkSession:
-    """Session for a job. Master, memory and storage come from spark-submit; only a run
-    without any master falls back to local cores."""
+    """Session for a job. Master, memory and storage come from spark-submit and its defaults;
+    a run without any master uses the local cores."""
     builder = SparkSession.builder.appName(app_name)
-    if "MASTER" not in os.environ and "SPARK_REMOTE" not in os.environ:
-        from pyspark import SparkConf
-
-        if not SparkConf().contains("spark.master"):
-            builder = builder.master("local[*]")
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
