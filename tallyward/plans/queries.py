@@ -26,7 +26,7 @@ from tallyward.schemas import (
 )
 from tallyward.sources import events, lake, replay, sinks
 from tallyward.streaming.score import Settings, Sinks, score_stream
-from tallyward.streaming.velocity import stream_dedup, stream_velocity
+from tallyward.streaming.velocity import state_partitions, stream_dedup, stream_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TARGET_HOUR = "2024-01-01-05"
@@ -577,8 +577,10 @@ def _stream_of(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 def _drain(stream: DataFrame, spark: SparkSession) -> DataFrame:
     out = scratch(spark, "out")
-    (stream.writeStream.format("parquet").option("checkpointLocation", out + "-checkpoint")
-     .trigger(availableNow=True).start(out).awaitTermination())
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", out + "-checkpoint")
+    with state_partitions(spark):
+        query = writer.trigger(availableNow=True).start(out)
+    query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out).where(F.col("source_offset") != "-1")
 
 

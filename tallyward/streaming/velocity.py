@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.operators.scoring import VELOCITY_SECONDS, time_slot
@@ -12,6 +15,20 @@ from tallyward.schemas import SOURCE_ID
 SALTS = 4
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Start a stateful stream inside this block to give its state one partition per core, or
+    ``partitions``. A stream keeps the number it starts with, so the general shuffle setting,
+    which adaptive execution trims for batches, would stay with it as many small stores."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(partitions or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def stream_dedup(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """One row per source message while its repeats arrive within ``delay``."""
     return events.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(SOURCE_ID)

@@ -164,6 +164,20 @@ def test_event_time_velocity_does_not_depend_on_batches(spark, sf, path):
     same(out, add_velocity(rows).where("source_offset <> '-1'"))
 
 
+def test_state_partitions_hold_for_the_stream_only(spark, path):
+    from tallyward.streaming.velocity import state_partitions
+
+    rows = scored(spark, {}, {"source_offset": "2"}).select(*SOURCE_ID, "event_ts")
+    rows.write.parquet(f"{path}/in")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with state_partitions(spark, 3):
+        query = (stream_dedup(spark.readStream.schema(rows.schema).parquet(f"{path}/in")).writeStream.format("parquet")
+                 .option("checkpointLocation", f"{path}/cp").trigger(availableNow=True).start(f"{path}/out"))
+    query.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+
+
 def test_dedup_then_velocity_on_one_watermark(spark, sf, path):
     base = fixture.transactions(spark, sf).select(*SOURCE_ID, "event_ts", "nameOrig", "amount", "kafka_ingest_ts")
     rows = fixture.with_duplicates(base).drop("kafka_ingest_ts")
