@@ -12,10 +12,14 @@ _own_root: dict[str, str] = {}
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that ``spark.checkpoint.dir`` names. Only a session
-    without that setting, as in tests, gets a local folder."""
+    without that setting on a local master, as in tests, gets a local folder: elsewhere each
+    machine would write to its own disk."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.conf.get("spark.app.id", "local")
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         root = _own_root.setdefault(app, "") or tempfile.mkdtemp(prefix="tallyward-")
         _own_root[app] = root
     return f"{root.rstrip('/')}/tallyward/{app}/{name}-{uuid.uuid4().hex}"
