@@ -73,3 +73,66 @@ def batches(frames: Iterator, columns: list[str]) -> Iterator[list[list]]:
     """Arrow batches as Python lists, one list for each of ``columns``."""
     for batch in frames:
         yield [batch.column(c).to_pylist() for c in columns]
+
+
+# Characters of text whose words are hashed at once.
+_CHUNK_CHARS = 1 << 16
+_PLACES = 64
+
+
+def _hash_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which bytes are white space; a random number for each place in a word and byte, A-Z like a-z; a factor."""
+    draw = np.random.default_rng(9_041)  # the same in every task
+    space = np.zeros(256, bool)
+    space[[0x20, *range(0x09, 0x0E)]] = True
+    values = draw.integers(0, 1 << 64, (_PLACES, 256), dtype=np.uint64)
+    values[:, ord("A"):ord("Z") + 1] = values[:, ord("a"):ord("z") + 1]
+    return space, values.reshape(-1), draw.integers(0, 1 << 64, 1, dtype=np.uint64) | np.uint64(1)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit integers that spreads every bit over all."""
+    h = h ^ (h >> np.uint64(33))
+    h *= np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    h ^= h >> np.uint64(33)
+    return h
+
+
+def sorted_distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    new = np.ones(len(h), bool)
+    np.not_equal(h[1:], h[:-1], out=new[1:])
+    return h[new]
+
+
+def word_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """For each text the 64-bit hashes of its words, as ``words_of`` finds them, in order."""
+    space, values, factor = _hash_tables()
+    begin = 0
+    while begin < len(texts):
+        end, chars = begin, 0
+        while end < len(texts) and (end == begin or chars + len(texts[end] or "") <= _CHUNK_CHARS):
+            chars += len(texts[end] or "")
+            end += 1
+        blobs = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts[begin:end]]
+        raw = np.frombuffer(b"\n".join([*blobs, b""]), np.uint8)
+        blank = space[raw]
+        # The last byte is blank, so words begin and end in turn.
+        edges = np.flatnonzero(np.diff(blank.view(np.int8), prepend=np.int8(1)))
+        first, last = edges[0::2], edges[1::2]
+        if len(first):
+            sizes = last - first
+            offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            place = (np.arange(sizes.sum()) - np.repeat(offsets, sizes)).astype(np.int32)
+            value = values[(place & (_PLACES - 1)) << 8 | raw[~blank]]
+            if sizes.max() > _PLACES:
+                turns = np.cumprod(np.full(int(sizes.max()) // _PLACES + 1, factor[0], np.uint64))
+                value = value * turns[place // _PLACES]
+            hashed = mixed(np.add.reduceat(value, offsets) + sizes.astype(np.uint64))
+        else:
+            hashed = np.empty(0, np.uint64)
+        stops = np.searchsorted(first, np.cumsum([len(b) + 1 for b in blobs]))
+        yield from np.split(hashed, stops[:-1])
+        begin = end
