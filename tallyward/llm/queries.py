@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+from tallyward.llm.decontaminate import op8_decontamination
+from tallyward.llm.language import op4_language_id
+from tallyward.llm.linededup import op9_line_dedup
 from tallyward.llm.packing import op2_packing
+from tallyward.llm.setsketch import op7_near_dedup
 from tallyward.llm.sharding import op3_sharding
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_sharding": op3_sharding,
+    "op4_language_id": op4_language_id,
+    "op7_near_dedup": op7_near_dedup,
+    "op8_decontamination": op8_decontamination,
+    "op9_line_dedup": op9_line_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES: dict[str, str] = {}

@@ -304,11 +304,28 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = WORDS, m: in
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     names = durable(named.join(lowest, "root").select("h1", "h2", "n_shingles", "component_id", F.col("root").alias("class_root"), F.col("node").alias("class_id")), "names")
     # A class may hold a third of all rows: a sort-merge join, whose large partitions Spark splits.
-    return own.drop("registers", "loc").join(names.hint("merge"), ["h1", "h2", "n_shingles"], "left").select(
+    # A class may hold a third of all rows: a sort-merge join, whose large partitions Spark splits.
+    return own.drop("registers").join(names.hint("merge"), ["h1", "h2", "n_shingles"], "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n_shingles") > 0, F.col("doc_id").eqNullSafe(F.col("component_id"))).otherwise(F.lit(True)).alias("kept"),
-        "class_id", F.col("class_root").alias("component"))
+        "class_id", F.col("class_root").alias("component"), "loc")
+
+
+def representatives(docs: DataFrame, percent: int = 85, size: int = WORDS) -> DataFrame:
+    """``docs`` (doc_id, text, any other columns) with one row of each group: that with the smallest doc_id,
+    among equal ids the one whose (doc_id, text) hash is the smallest; of rows that repeat both, one stays.
+    Rows without a word all stay."""
+    found = near_duplicates(docs, percent, size)
+    stay = durable(found.where("kept AND component IS NOT NULL").groupBy("component").agg(F.min("loc").alias("_loc")).select("_loc"), "stay")
+    rows = docs.withColumn("_loc", F.xxhash64("doc_id", "text"))
+    empty = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = rows.where(~empty).join(stay.hint("shuffle_hash"), "_loc", "left_semi")
+    # Nothing but rows that repeat id and text can still be in one group.
+    twice = kept.groupBy("_loc").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_loc")
+    if twice.isEmpty():
+        return kept.unionByName(rows.where(empty)).select(*docs.columns)
+    return kept.dropDuplicates(["_loc"]).unionByName(rows.where(empty)).select(*docs.columns)
 
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
