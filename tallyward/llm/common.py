@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import itertools
+import os
+import re
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Words whose ids a task remembers; the memory is emptied when it is full.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 500_000
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -38,35 +41,86 @@ def read_whole(path: str) -> str:
         return f.read()
 
 
+# Marks that end a word. After a letter or digit and before a space they are always tokens of their own.
+_END_MARKS = re.compile(r"(?<=[^\W_])[.,!?;:%#$&*|]+(?=[ \n])")
+
+
+def _pieces(text: str | None) -> list[str]:
+    """Pieces of a text that the tokenizer treats one by one; A-Z lower-cased, as it does itself."""
+    if text is None:
+        return [""]
+    if "<|" not in text:  # else a special token may stand there, and those know their case
+        text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+    return _END_MARKS.sub(r" \g<0>", text).replace("\n", " ").split(" ")
+
+
 class WordIds:
-    """Ids of a text, found word by word.
+    """Ids of texts, found word by word.
 
     Merges of this tokenizer never cross a space or a line feed, so the ids of a text are
     those of its pieces between them, and a piece seen before needs no second look.
     """
 
     def __init__(self, tokenizer_json: str):
+        # Spark's tasks are the threads; a pool in each of them would only wait.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.known: dict[str, np.ndarray] = {}
-
-    def learn(self, pieces: Iterable[str]) -> None:
-        new = [p for p in set(pieces) if p not in self.known]
+        self._forget()
+
+    def _codes(self, pieces: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each piece. Many pieces go at once; where an id's characters stand tells whose it is."""
+        for begin in range(0, len(pieces), 512):
+            some = pieces[begin:begin + 512]
+            code = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            places = np.fromiter((o[0] for o in code.offsets), np.int64, len(code.ids))
+            starts = np.cumsum([0] + [len(p) + 1 for p in some[:-1]])
+            ends = np.cumsum(np.bincount(np.searchsorted(starts, places, side="right") - 1, minlength=len(some))).tolist()
+            ids = np.array(code.ids, np.uint32)
+            yield from (ids[b:e] for b, e in zip([0, *ends], ends))
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.empty(0, np.uint32)
+        self.starts = np.zeros(1, np.int64)
+
+    def _learn(self, pieces: set[str]) -> None:
+        new = [p for p in pieces if p not in self.known]
         if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known.clear()
-            new = list(set(pieces))
-        for piece, code in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[piece] = np.array(code.ids, dtype=np.uint32)
-
-    def __call__(self, text: str) -> np.ndarray:
-        pieces = text.replace("\n", " ").split(" ")
-        try:
-            found = [self.known[p] for p in pieces]
-        except KeyError:
-            self.learn(pieces)
-            found = [self.known[p] for p in pieces]
-        return np.concatenate(found) if found else np.empty(0, np.uint32)
+            self._forget()
+            new = list(pieces)
+        codes = list(self._codes(new))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.ids = np.concatenate([self.ids, *codes])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(c) for c in codes], dtype=np.int64)])
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text; null counts as empty."""
+        for some in chunks(texts, _CHUNK_CHARS * 8):
+            pieces = [_pieces(t) for t in some]
+            flat = list(itertools.chain.from_iterable(pieces))
+            words = set(flat)
+            if not self.known.keys() >= words:
+                self._learn(words)
+            at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+            sizes = self.starts[at + 1] - self.starts[at]
+            ends = np.cumsum(sizes)
+            found = self.ids[np.arange(ends[-1]) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
+            stops = ends[np.cumsum([len(p) for p in pieces]) - 1]
+            yield from np.split(found, stops[:-1])
+
+
+def chunks(texts: list[str | None], chars: int) -> Iterator[list[str | None]]:
+    """Runs of texts with about so many characters together; a longer text is a run of its own."""
+    begin = 0
+    while begin < len(texts):
+        end, held = begin, 0
+        while end < len(texts) and (end == begin or held + len(texts[end] or "") <= chars):
+            held += len(texts[end] or "")
+            end += 1
+        yield texts[begin:end]
+        begin = end
 
 
 def batches(frames: Iterator, columns: list[str]) -> Iterator[list[list]]:
@@ -110,13 +164,8 @@ def sorted_distinct(h: np.ndarray) -> np.ndarray:
 def word_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
     """For each text the 64-bit hashes of its words, as ``words_of`` finds them, in order."""
     space, values, factor = _hash_tables()
-    begin = 0
-    while begin < len(texts):
-        end, chars = begin, 0
-        while end < len(texts) and (end == begin or chars + len(texts[end] or "") <= _CHUNK_CHARS):
-            chars += len(texts[end] or "")
-            end += 1
-        blobs = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts[begin:end]]
+    for some in chunks(texts, _CHUNK_CHARS):
+        blobs = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in some]
         raw = np.frombuffer(b"\n".join([*blobs, b""]), np.uint8)
         blank = space[raw]
         # The last byte is blank, so words begin and end in turn.
@@ -135,4 +184,3 @@ def word_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
             hashed = np.empty(0, np.uint64)
         stops = np.searchsorted(first, np.cumsum([len(b) + 1 for b in blobs]))
         yield from np.split(hashed, stops[:-1])
-        begin = end

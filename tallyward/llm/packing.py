@@ -96,8 +96,8 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
         ids_of = WordIds(spec.value)
         for names, texts in batches(frames, ["doc_id", "text"]):
             out: list[list] = [[] for _ in types]
-            for name, text in zip(names, texts):
-                ids = np.append(ids_of(text or ""), np.uint32(end_id)).astype("<u4")
+            for name, ids in zip(names, ids_of.encode(texts)):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start:start + window]
                     row = (name, start, len(piece), zlib.crc32(piece.tobytes()), len(ids), piece.tolist() if with_ids else None)
