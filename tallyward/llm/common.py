@@ -26,6 +26,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def row_key() -> list[Column]:
+    """Two hashes of a document, row_a and row_b; together they tell documents apart at any size."""
+    return [F.xxhash64("doc_id", "text").alias("row_a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("row_b")]
+
+
 def id_bucket(column: str, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``; null ids count as the text ``null``."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary")), F.lit(buckets))

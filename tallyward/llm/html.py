@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import table
@@ -198,7 +198,8 @@ def extract(source: str | None, path: str | None) -> str:
     return "\n\n".join(page.below(tops))
 
 
-_HOST = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+def _host() -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
@@ -211,7 +212,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([s[i] for s in some], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))],
                                              ["host", "path", "chars"])
 
-    votes = pages.select(_HOST.alias("host"), "html").mapInArrow(cast, "host string, path string, chars long")
+    votes = pages.select(_host().alias("host"), "html").mapInArrow(cast, "host string, path string, chars long")
     counted = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"))
     return counted.groupBy("host").agg(F.max(F.struct("pages", "chars", "path"))["path"].alias("path"))
 
@@ -225,7 +226,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     pages = pages.drop("text", "n_chars")
     rest = [c for c in pages.columns if c != "html"]
     paths = host_paths(pages).toDF("_host", "_path")
-    joined = pages.withColumn("_host", _HOST).join(paths, "_host", "left").select(*rest, "html", "_path")
+    joined = pages.withColumn("_host", _host()).join(paths, "_host", "left").select(*rest, "html", "_path")
     schema = pages.select(*rest, F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
 
     def read(frames: Iterator) -> Iterator:

@@ -22,19 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import batches, table
+from tallyward.llm.common import batches, row_key, table
 from tallyward.plans.durable import durable
 
 MIN_WORDS = 50
 _WORD = r"[^\x20\x09-\x0D]+"
-# Two hashes of a row; together they tell rows apart at any size.
-_ROW = [F.xxhash64("doc_id", "text").alias("row_a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("row_b")]
 _KEY = ["row_a", "row_b"]
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """Lines that hold a word: row, place among such lines, hashes, words."""
-    listed = docs.select("doc_id", *_ROW, F.filter(F.split("text", "\n"), lambda x: x.rlike(_WORD)).alias("lines"))
+    listed = docs.select("doc_id", *row_key(), F.filter(F.split("text", "\n"), lambda x: x.rlike(_WORD)).alias("lines"))
     return listed.select("doc_id", *_KEY, F.posexplode("lines").alias("seq", "line")).select(
         "doc_id", *_KEY, F.col("seq").cast("long").alias("seq"), F.xxhash64("line").alias("h1"),
         F.xxhash64(F.lit(1), "line").alias("h2"), F.regexp_count("line", F.lit(_WORD)).alias("words"))
@@ -129,7 +127,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     cuts = durable(later_copies(docs.select("doc_id", "text"), min_words).groupBy(*_KEY).agg(
         F.collect_set(F.struct("seq", "length")).alias("_cuts")), "cuts")
     # Both joins read one shuffle of the texts; the hashed side never holds texts.
-    keyed = docs.select("*", *_ROW)
+    keyed = docs.select("*", *row_key())
     tell = keyed.join(cuts.hint("shuffle_hash"), _KEY).drop(*_KEY)
     schema = tell.drop("_cuts").withColumn("removed_lines", F.lit(0)).schema
 

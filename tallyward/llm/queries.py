@@ -7,20 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from tallyward.llm.attention import op10_lm_scoring
 from tallyward.llm.decontaminate import op8_decontamination
+from tallyward.llm.html import op1_html_extraction
 from tallyward.llm.language import op4_language_id
 from tallyward.llm.linededup import op9_line_dedup
 from tallyward.llm.packing import op2_packing
+from tallyward.llm.pii import op6_pii_surrogates
+from tallyward.llm.search import op5_topk_search
 from tallyward.llm.setsketch import op7_near_dedup
 from tallyward.llm.sharding import op3_sharding
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
     "op3_sharding": op3_sharding,
     "op4_language_id": op4_language_id,
+    "op5_topk_search": op5_topk_search,
+    "op6_pii_surrogates": op6_pii_surrogates,
     "op7_near_dedup": op7_near_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
+    "op10_lm_scoring": op10_lm_scoring,
     "pipeline": corpus_pipeline.run,
 }
 
