@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from tallyward.operators import reports, scoring
 from tallyward.plans import jobs
 from tallyward.session import get_spark
-from tallyward.sources import events, lake, replay, sinks
+from tallyward.sources import events, lake, sinks
 from tallyward.streaming.score import Settings, Sinks, score_stream
 
 
@@ -79,7 +79,6 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--train-ratio", type=float, default=0.8)
     p.add_argument("--max-rows", type=int, default=75_000)
-    p.add_argument("--eval-rows", type=int, default=20_000)
     p.add_argument("--num-trees", type=int, default=8)
     p.add_argument("--max-depth", type=int, default=4)
     p.add_argument("--exclude-balances", action="store_true")
@@ -90,20 +89,6 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--limit", type=int, default=20)
     p.add_argument("--only-alerts", action="store_true")
     p.add_argument("--show-schema", action="store_true")
-
-    p = sub.add_parser("replay", help="stamp a labelled CSV with event times and write it as JSON")
-    p.add_argument("--input", required=True)
-    p.add_argument("--output", required=True)
-    p.add_argument("--order", nargs="+", default=["step"])
-    p.add_argument("--event-start-utc", required=True)
-    p.add_argument("--event-gap-distribution", choices=replay.DISTRIBUTIONS, default="triangular")
-    p.add_argument("--event-gap-seconds", type=float, default=1.0)
-    p.add_argument("--event-gap-min-seconds", type=float, default=1.0)
-    p.add_argument("--event-gap-max-seconds", type=float, default=10.0)
-    p.add_argument("--event-gap-mode-seconds", type=float, default=5.0)
-    p.add_argument("--seed", type=int, default=42)
-    p.add_argument("--max-events", type=int, default=0)
-    p.add_argument("--include-labels", action="store_true")
     return root
 
 
@@ -155,7 +140,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "train-baseline":
         trained = jobs.train_first_model(
             spark, args.input, args.model_output, trees=args.num_trees, depth=args.max_depth, seed=args.seed,
-            train_ratio=args.train_ratio, max_rows=args.max_rows, eval_rows=args.eval_rows,
+            train_ratio=args.train_ratio, max_rows=args.max_rows,
             exclude_balances=args.exclude_balances)
         print(f"Model saved to {args.model_output} with validation AUC={trained.auc:.4f}")
     elif args.job == "preview":
@@ -163,14 +148,6 @@ def main(argv: list[str] | None = None) -> int:
         if args.show_schema:
             df.printSchema()
         reports.lake_preview(df, args.limit, args.only_alerts).show(args.limit, truncate=False)
-    elif args.job == "replay":
-        labelled = spark.read.schema(lake.LABELLED_CSV).option("header", True).csv(args.input)
-        stamped = replay.stamp_event_time(
-            labelled, args.order, replay.parse_start(args.event_start_utc), gap=args.event_gap_seconds,
-            low=args.event_gap_min_seconds, high=args.event_gap_max_seconds, mode=args.event_gap_mode_seconds,
-            dist=args.event_gap_distribution, seed=args.seed, include_labels=args.include_labels,
-            max_events=args.max_events)
-        stamped.write.mode("overwrite").json(args.output)
     return 0
 
 

@@ -69,6 +69,8 @@ def to_bool(col: Column, dtype: T.DataType) -> Column:
 def plain_number(col: Column) -> Column:
     """Text of a double without an exponent, for people to read."""
     size = F.abs(col)
-    digits = F.regexp_replace(col.try_cast("decimal(38,9)").cast("string"), "0+$", "")
+    # A double has 17 digits; both types hold all of them within their range.
+    exact = F.when(size < 1e-3, col.try_cast("decimal(38,37)").cast("string")).otherwise(col.try_cast("decimal(38,9)").cast("string"))
+    digits = F.regexp_replace(exact, "0+$", "")
     return F.when((size == 0) | size.between(1e-3, 9999999.0), col.cast("string")).otherwise(
         F.coalesce(F.regexp_replace(digits, r"\.$", ".0"), col.cast("string")))

@@ -84,9 +84,13 @@ def encode_envelopes(
 ) -> DataFrame:
     """``key``, ``value``: one envelope per row with all its columns as payload.
 
-    The id is a hash of the row's source identity, so a retry publishes the same id.
+    The id is a hash of the row's source identity, or of all its columns where a part of that
+    is null, so a retry publishes the same id.
     """
-    event_id = joined_key(*[F.col(c) for c in SOURCE_ID])
+    unknown = F.lit(False)
+    for c in SOURCE_ID:
+        unknown = unknown | F.col(c).isNull()
+    event_id = F.when(unknown, F.md5(F.to_json(F.struct(*df.columns)))).otherwise(joined_key(*[F.col(c) for c in SOURCE_ID]))
     value = envelope_json(
         F.struct(*df.columns), event_type, source, event_id, moment(emitted_at), schema_version)
     return df.select(event_id.alias("key"), value.alias("value"))

@@ -97,13 +97,13 @@ def parity_rowcount(a: DataFrame, b: DataFrame, limit: float = ROWCOUNT_LIMIT) -
 
 
 def parity_kpi(a: DataFrame, b: DataFrame, kpi: str = "observed_fraud_rate", limit: float = KPI_LIMIT) -> DataFrame:
-    """Both sides' KPI per hour and type, newest hour first."""
+    """Both sides' KPI per hour and type, newest hour first. A group that one side lacks is not within the limit."""
     key = ["event_hour_utc", "transaction_type"]
-    joined = a.select(*key, F.col(kpi).alias("rate_a")).join(
-        b.select(*key, F.col(kpi).alias("rate_b")), key, "full")
+    joined = a.select(*key, F.col(kpi).alias("rate_a"), F.lit(True).alias("in_a")).join(
+        b.select(*key, F.col(kpi).alias("rate_b"), F.lit(True).alias("in_b")), key, "full")
     rate_a, rate_b = F.coalesce("rate_a", F.lit(0.0)), F.coalesce("rate_b", F.lit(0.0))
     delta = F.abs(rate_b - rate_a)
     return joined.select(
         *key, "rate_a", "rate_b", delta.alias("abs_delta"),
-        (delta <= F.lit(limit) * F.abs(rate_a)).alias("within_limit"),
+        (F.col("in_a").isNotNull() & F.col("in_b").isNotNull() & (delta <= F.lit(limit) * F.abs(rate_a))).alias("within_limit"),
     ).orderBy(F.desc("event_hour_utc"), "transaction_type")

@@ -36,8 +36,16 @@ def keep_first(df: DataFrame, keys: list[str], prefer: list[str]) -> DataFrame:
 
 
 def dedup_scored(df: DataFrame) -> DataFrame:
-    """One row per source message, or per business key and event time without source columns."""
-    return keep_first(df, dedup_keys(df), ["kafka_ingest_ts"])
+    """One row per source message; where any part of that identity is absent or null, one per business key and event time."""
+    if dedup_keys(df) != SOURCE_ID:
+        return keep_first(df, dedup_keys(df), ["kafka_ingest_ts"])
+    unknown = F.lit(False)
+    for c in SOURCE_ID:
+        unknown = unknown | F.col(c).isNull()
+    identity = {f"_id_{c}": F.when(~unknown, F.col(c)) for c in SOURCE_ID}
+    business = {f"_id_{c}": F.when(unknown, F.col(c)) for c in [*JOIN_KEYS, "event_ts"]}
+    keyed = df.withColumns({**business, **identity})
+    return keep_first(keyed, [*business, *identity], ["kafka_ingest_ts"]).drop(*business, *identity)
 
 
 def dedup_labels(labels: DataFrame) -> DataFrame:
@@ -75,7 +83,7 @@ def repeats_elsewhere(silver: DataFrame, hour: str) -> DataFrame:
     return outside.where(lacks_event_time()).join(suspects, SOURCE_ID, "left_semi").select(*silver.columns)
 
 
-def require_rows(df: DataFrame, message: str = "No scored transactions found for the selected window.") -> None:
+def require_rows(df: DataFrame, message: str = "The chosen window holds no scored transactions.") -> None:
     if df.isEmpty():
         raise ValueError(message)
 

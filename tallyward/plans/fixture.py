@@ -40,12 +40,11 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"(unix_micros(cast(ts as timestamp)) - {BASE_MICROS}) div 60 as cus",
     )
     customer = table(spark, sf_dir, "customer", CUSTOMER)
-    # k has two digits and c_custkey is the primary key, so the payee side has at most 100 rows.
-    # The payer side is left to Spark, which broadcasts it by size or splits hot users.
+    # Both joins are left to Spark, which broadcasts a side by size or splits hot keys.
     payer = customer.selectExpr("c_custkey as user_id", "c_acctbal as payer_balance")
-    payee = customer.where("c_custkey between 0 and 99").selectExpr(
+    payee = customer.selectExpr(
         "cast(c_custkey as int) as k", "c_acctbal as payee_balance")
-    joined = events.join(payer, "user_id", "left").join(F.broadcast(payee), "k", "left")
+    joined = events.join(payer, "user_id", "left").join(payee, "k", "left")
     kinds = " ".join(f"when '{kind}' then '{code}'" for kind, code in TYPES.items())
     shaped = joined.selectExpr(
         "event_id", "k",

@@ -48,7 +48,7 @@ def hourly(
         F.max(hour_of(F.col("event_ts"))).alias("last"),
     ).first()
     if not span["rows"]:
-        raise ValueError("No scored transactions found for the selected window.")
+        raise ValueError("The chosen window holds no scored transactions.")
     delivered = window
     if target_hour and span["untimed"]:
         delivered = window.unionByName(reconcile.repeats_elsewhere(silver, target_hour))
@@ -62,18 +62,25 @@ def hourly(
         return spark.read.schema(schema).parquet(f"{out}/{name}").where(
             F.col(HOUR).between(F.lit(span["first"]), F.lit(span["last"])))
 
-    curated = this_run("curated_scored", CURATED)
+    # Of the curated table only the hours that this run has rows of.
+    hours = [r[0] for r in window.select(hour_of(F.col("event_ts"))).distinct().collect()]
+    curated = this_run("curated_scored", CURATED).where(F.col(HOUR).isin(hours))
     sinks.write_hourly(
         training.training_dataset(curated).select(*RETRAINING.fieldNames()), f"{out}/retraining_dataset")
     sinks.write_hourly(
         reconcile.hourly_monitoring(curated).select(*MONITORING.fieldNames()), f"{out}/monitoring_hourly")
+    for name, schema in (("curated_scored", CURATED), ("retraining_dataset", RETRAINING), ("monitoring_hourly", MONITORING)):
+        # An hour of an earlier run that has no rows now is emptied. Hours, not rows, come to the driver.
+        held = {r[0] for r in this_run(name, schema).select(HOUR).distinct().collect()}
+        now = {r[0] for r in (training.labelled(curated) if name == "retraining_dataset" else curated).select(HOUR).distinct().collect()}
+        sinks.clear_hours(spark, f"{out}/{name}", sorted(held - now), schema)
     counts = curated.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if("is_label_available").alias("labelled")).first()
     return {
         "silver_rows": span["rows"],
         "curated_rows": counts["rows"],
         "labelled_rows": counts["labelled"],
-        "retraining_rows": this_run("retraining_dataset", RETRAINING).count() if counts["labelled"] else 0,
+        "retraining_rows": this_run("retraining_dataset", RETRAINING).count(),
         "monitoring_rows": this_run("monitoring_hourly", MONITORING).count(),
     }
 

@@ -350,6 +350,9 @@ SELECT source_offset, strftime(date_trunc('hour', event_ts), {TS}) AS batch_hour
        CAST(date_trunc('hour', event_ts) <> TIMESTAMP '2024-01-01 05:00:00' AND is_label_available AS VARCHAR)
          AS is_label_available
 FROM reconciled"""),
+    "hourly_retraining_rerun": sql(RECONCILED, f"""
+SELECT source_offset, strftime(date_trunc('hour', event_ts), {TS}) AS batch_hour_utc, isFraud
+FROM reconciled WHERE is_label_available AND date_trunc('hour', event_ts) <> TIMESTAMP '2024-01-01 05:00:00'"""),
     "batch_metrics": sql(RECONCILED, """
 SELECT 'silver_rows' AS metric, count(*) AS row_count FROM again
 UNION ALL SELECT 'curated_rows', count(*) FROM reconciled
@@ -405,7 +408,8 @@ SELECT strftime(coalesce(a.event_hour_utc, b.event_hour_utc), {TS}) AS event_hou
        coalesce(a.transaction_type, b.transaction_type) AS transaction_type,
        round(1e-9 + a.observed_fraud_rate, 6) AS rate_a, round(1e-9 + b.observed_fraud_rate, 6) AS rate_b,
        round(1e-9 + abs(coalesce(b.observed_fraud_rate, 0) - coalesce(a.observed_fraud_rate, 0)), 6) AS abs_delta,
-       CAST(abs(coalesce(b.observed_fraud_rate, 0) - coalesce(a.observed_fraud_rate, 0))
+       CAST(a.transaction_type IS NOT NULL AND b.transaction_type IS NOT NULL
+            AND abs(coalesce(b.observed_fraud_rate, 0) - coalesce(a.observed_fraud_rate, 0))
             <= 0.01 * abs(coalesce(a.observed_fraud_rate, 0)) AS VARCHAR) AS within_limit
 FROM mart a FULL JOIN other_mart b
   ON a.event_hour_utc = b.event_hour_utc AND a.transaction_type = b.transaction_type""",
@@ -483,11 +487,6 @@ FROM (SELECT *, '[Fraud Alert] ' || type || ' from ' || nameOrig || ' score=' ||
         shown("source_offset type amount:f"), "txn", "disposition",
         ["WRITE_TRUNCATE", "WRITE_APPEND", "WRITE_APPEND", "WRITE_EMPTY"])),
     "compaction": sql(["txn", "scored"], f"SELECT {shown(LAKE)} FROM scored"),
-    "replay_fixed_gap": sql(["txn"], f"""
-SELECT event_id AS row_id, {shown(KEYS)}, strftime(t, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_emitted_at_utc,
-       strftime(t, {TS}) AS event_ts
-FROM (SELECT *, make_timestamp(epoch_us(TIMESTAMP '2024-03-01 00:00:00')
-             + (row_number() OVER (ORDER BY event_id) - 1) * 2500000) AS t FROM txn)"""),
     "stream_bronze": sql(["txn", "raw", "received"], f"SELECT {shown(BRONZE)} FROM received"),
     "stream_silver": sql(["txn", "raw", "received", "streamed"], f"SELECT {shown(SILVER)} FROM streamed"),
     "stream_alerts": sql(["txn", "raw", "received", "streamed"], f"SELECT {shown(SILVER)} FROM streamed WHERE is_alert"),

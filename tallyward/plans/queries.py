@@ -22,15 +22,14 @@ from tallyward.plans import fixture as fx
 from tallyward.plans import jobs
 from tallyward.plans.durable import durable, scratch
 from tallyward.schemas import (
-    BRONZE, ENGINEERED, FCT_SCORED, HOUR, JOIN_KEYS, LABELLED_CSV, MESSAGE, RULE_FLAGS, SILVER, SOURCE_ID,
+    BRONZE, ENGINEERED, FCT_SCORED, HOUR, JOIN_KEYS, LABELLED_CSV, MESSAGE, RETRAINING, RULE_FLAGS, SILVER, SOURCE_ID,
 )
-from tallyward.sources import events, lake, replay, sinks
+from tallyward.sources import events, lake, sinks
 from tallyward.streaming.score import Settings, Sinks, score_stream
 from tallyward.streaming.velocity import state_partitions, stream_dedup, stream_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TARGET_HOUR = "2024-01-01-05"
-REPLAY_START = datetime(2024, 3, 1, tzinfo=timezone.utc)
 MONTH = (datetime(2024, 1, 1, 2, tzinfo=timezone.utc), datetime(2024, 1, 1, 9, tzinfo=timezone.utc))
 
 
@@ -167,6 +166,16 @@ def hourly_overwrite(spark: SparkSession, sf: str) -> DataFrame:
         "source_offset", HOUR, "isFraud", "is_label_available"))
 
 
+def hourly_retraining_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """What the retraining table holds after one hour ran again without labels."""
+    out = scratch(spark, "hourly")
+    delivered = durable(fx.with_duplicates(fx.silver(spark, sf)), "silver")
+    known = fx.labels(spark, sf)
+    jobs.hourly(spark, delivered, known, out, as_of=fx.AS_OF)
+    jobs.hourly(spark, delivered, known.where(F.lit(False)), out, TARGET_HOUR, fx.AS_OF)
+    return comparable(spark.read.schema(RETRAINING).parquet(f"{out}/retraining_dataset").select("source_offset", HOUR, "isFraud"))
+
+
 def batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
     delivered = durable(fx.with_duplicates(fx.silver(spark, sf)), "silver")
     counts = jobs.hourly(spark, delivered, fx.labels(spark, sf), scratch(spark, "hourly"), as_of=fx.AS_OF)
@@ -524,23 +533,6 @@ def compaction(spark: SparkSession, sf: str) -> DataFrame:
     return comparable(spark.read.schema(rows.schema).parquet(path))
 
 
-def _replay_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.transactions(spark, sf).select(
-        F.col("source_offset").cast("bigint").alias("row_id"), *JOIN_KEYS, "isFraud")
-
-
-def replay_fixed_gap(spark: SparkSession, sf: str) -> DataFrame:
-    return comparable(replay.stamp_event_time(_replay_rows(spark, sf), ["row_id"], REPLAY_START, gap=2.5))
-
-
-def replay_random_gap(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _replay_rows(spark, sf)
-    return comparable(_tagged({
-        dist: replay.stamp_event_time(rows, ["row_id"], REPLAY_START, dist=dist)
-        for dist in ["uniform", "triangular", "log-uniform"]
-    }, "distribution"))
-
-
 # --- streams ---------------------------------------------------------------------------
 
 def _score_messages(spark: SparkSession, sf: str) -> Sinks:
@@ -612,6 +604,7 @@ QUERIES: dict[str, Query] = {
     "hour_filter": hour_filter,
     "hourly_monitoring": hourly_monitoring,
     "hourly_overwrite": hourly_overwrite,
+    "hourly_retraining_rerun": hourly_retraining_rerun,
     "batch_metrics": batch_metrics,
     "stg_curated_scored": stg_curated_scored,
     "stg_monitoring_hourly": stg_monitoring_hourly,
@@ -657,8 +650,6 @@ QUERIES: dict[str, Query] = {
     "load_layouts": load_layouts,
     "load_dispositions": load_dispositions,
     "compaction": compaction,
-    "replay_fixed_gap": replay_fixed_gap,
-    "replay_random_gap": replay_random_gap,
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
     "stream_alerts": stream_alerts,

@@ -9,8 +9,7 @@ from pyspark.sql import types as T
 
 from tallyward.schemas import MESSAGE
 
-# Default pacing of the scoring stream.
-BATCH_ROWS = 1000
+# Fixed value: default pause between triggers of the scoring stream.
 IDLE_SECONDS = 10
 FILE_FORMATS = ["parquet", "json", "orc", "csv"]
 
@@ -34,7 +33,8 @@ def pacing_options(fmt: str, per_trigger: int | None = None, starting_offsets: s
         if per_trigger is not None:
             options["maxFilesPerTrigger"] = str(per_trigger)
     else:
-        options["maxOffsetsPerTrigger"] = str(BATCH_ROWS if per_trigger is None else per_trigger)
+        if per_trigger is not None:
+            options["maxOffsetsPerTrigger"] = str(per_trigger)
         if starting_offsets:
             options["startingOffsets"] = starting_offsets
     return options

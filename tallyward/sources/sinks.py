@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyward.schemas import HOUR
 
@@ -27,6 +29,14 @@ def compact(df: DataFrame, files: int | None = None) -> DataFrame:
     return df.coalesce(files)
 
 
+def clear_hours(spark: SparkSession, path: str, hours: list[datetime], schema: T.StructType, by: str = HOUR) -> None:
+    """Empty the partitions of ``hours``, which a run has processed without any output for them."""
+    empty = spark.createDataFrame([], schema).drop(by)
+    for hour in hours:
+        folder = f"{by}={hour:%Y-%m-%d %H:%M:%S}".replace(":", "%3A")
+        empty.write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
 def write_hourly(df: DataFrame, path: str, by: str = HOUR) -> None:
     """Replace only the hours present in ``df``. Rows are brought together by hour, and a
     large hour is written by several tasks."""

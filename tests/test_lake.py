@@ -14,7 +14,7 @@ from tallyward.operators import reconcile
 from tallyward.plans import fixture, jobs
 from tallyward.plans.durable import scratch
 from tallyward.schemas import CURATED, HOUR, JOIN_KEYS, MODEL_INPUT
-from tallyward.sources import events, lake, replay, sinks
+from tallyward.sources import events, lake, sinks
 
 HEADER = "step,type,amount,nameOrig,oldbalanceOrg,newbalanceOrig,nameDest,oldbalanceDest,newbalanceDest,isFraud,isFlaggedFraud\n"
 
@@ -148,9 +148,6 @@ def test_command_line_runs_hourly_and_warehouse(spark, sf, path, monkeypatch, ca
                  "--output-base", f"{path}/out"]) == 0
     assert main(["warehouse", "--base", f"{path}/out", "--output", f"{path}/wh"]) == 0
     assert main(["preview", "--path", f"{path}/wh/fct_fraud_alerts", "--only-alerts"] [:3]) == 0
-    assert main(["replay", "--input", f"{path}/labels", "--output", f"{path}/events",
-                 "--event-start-utc", "2024-01-01T00:00:00Z", "--max-events", "100"]) == 0
-    assert spark.read.json(f"{path}/events").count() == 100
     assert main(["train-baseline", "--input", f"{path}/labels", "--model-output", f"{path}/model"]) == 0
     out = capsys.readouterr().out
     assert "'curated_rows': 1000" in out and "all assertions hold" in out and "AUC" in out
@@ -160,7 +157,7 @@ def test_defaults_of_the_command_line():
     args = parser().parse_args(["refresh-model", "--retraining", "x", "--model-output", "y"])
     assert (args.model_num_trees, args.model_max_depth, args.model_seed) == (120, 8, 42)
     args = parser().parse_args(["train-baseline", "--input", "x", "--model-output", "y"])
-    assert (args.num_trees, args.max_depth, args.max_rows, args.eval_rows, args.train_ratio) == (8, 4, 75000, 20000, 0.8)
+    assert (args.num_trees, args.max_depth, args.max_rows, args.train_ratio) == (8, 4, 75000, 0.8)
 
 
 def test_scratch_follows_the_session_setting(spark):
@@ -169,63 +166,20 @@ def test_scratch_follows_the_session_setting(spark):
     assert one != two and (root is None or one.startswith(root.rstrip("/")))
 
 
-def test_pacing():
-    assert events.pacing_options("kafka") == {"maxOffsetsPerTrigger": "1000"}
-    assert events.pacing_options("kafka", 7, "earliest") == {"maxOffsetsPerTrigger": "7", "startingOffsets": "earliest"}
-    assert events.pacing_options("json", 3) == {"maxFilesPerTrigger": "3"} and events.pacing_options("json") == {}
-    assert events.trigger() == {"processingTime": "10 seconds"} and events.trigger(available_now=True) == {"availableNow": True}
-
-
-# --- replay ---------------------------------------------------------------------------
-
-def stamped(spark, n=500, **options):
-    df = spark.range(n).select(
-        F.col("id").alias("row_id"), F.lit(1).alias("step"), F.lit(0).alias("isFraud"), F.lit(0).alias("isFlaggedFraud"))
-    out = replay.stamp_event_time(df.repartition(7), ["row_id"], START, **options)
-    return out, [r["event_ts"] for r in out.orderBy("row_id").collect()]
-
-
-def test_fixed_gaps_and_dropped_labels(spark):
-    out, times = stamped(spark, gap=2.5)
-    assert out.columns == ["row_id", "step", "event_emitted_at_utc", "event_ts"]
-    assert [(t - times[0]).total_seconds() for t in times] == [2.5 * i for i in range(500)]
-
-
-@pytest.mark.parametrize("dist, mean", [
-    ("uniform", 5.5), ("triangular", 16 / 3), ("log-uniform", 9 / math.log(10))])
-def test_random_gaps_follow_their_distribution(spark, dist, mean):
-    _, times = stamped(spark, n=4000, dist=dist)
-    gaps = [(b - a).total_seconds() for a, b in zip(times, times[1:])]
-    assert min(gaps) >= 1 and max(gaps) <= 10
-    assert sum(gaps) / len(gaps) == pytest.approx(mean, rel=0.05)
-    assert times == stamped(spark, n=4000, dist=dist)[1] and times != stamped(spark, n=4000, dist=dist, seed=1)[1]
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077", "spark.app.id": "a"}.get(key, default)
 
+    class Session:
+        conf = Conf()
 
-def test_replay_options(spark):
-    out, times = stamped(spark, max_events=10, include_labels=True)
-    assert len(times) == 10 and "isFraud" in out.columns
-    _, equal = stamped(spark, n=5, dist="uniform", low=3, high=3)
-    assert (equal[4] - equal[0]).total_seconds() == 12
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch(Session(), "x")
 
 
-def test_ties_in_the_order_are_spread_and_kept(spark):
-    df = spark.range(300).select(F.lit(1).alias("step"), F.col("id"))
-    out = replay.stamp_event_time(df, ["step"], START, gap=1.0)
-    times = sorted(r["event_ts"] for r in out.collect())
-    assert [(t - times[0]).total_seconds() for t in times] == list(range(300))
-
-
-@pytest.mark.parametrize("options", [
-    {"dist": "normal"}, {"gap": -1}, {"dist": "uniform", "low": 5, "high": 1}, {"dist": "uniform", "low": -1},
-    {"dist": "triangular", "mode": 99}, {"dist": "log-uniform", "low": 0, "high": 0}, {"max_events": -1}])
-def test_bad_replay_options(spark, options):
-    with pytest.raises(ValueError):
-        stamped(spark, n=1, **options)
-
-
-def test_start_text():
-    assert replay.parse_start("2024-01-01T00:00:00") == replay.parse_start("2024-01-01T02:00:00+02:00") == START
-
-
-def test_business_keys_stay_nine():
-    assert len(JOIN_KEYS) == 9
+def test_pacing():
+    assert events.pacing_options("kafka") == {}
+    assert events.pacing_options("kafka", 7, "earliest") == {"maxOffsetsPerTrigger": "7", "startingOffsets": "earliest"}
+    assert events.pacing_options("json", 3) == {"maxFilesPerTrigger": "3"} and events.pacing_options("json") == {}
+    assert events.trigger() == {"processingTime": "10 seconds"} and events.trigger(available_now=True) == {"availableNow": True}
