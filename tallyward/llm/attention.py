@@ -196,7 +196,7 @@ def id_counts(ids: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 
     # One row per id of the vocabulary.
-    counted = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counted = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     total = np.zeros(VOCABULARY, np.int64)
     total[counted.id.to_numpy()] = counted.n.to_numpy()
     return total
@@ -216,7 +216,7 @@ def pair_counts(ids: DataFrame, rank: np.ndarray) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n.astype(np.int64))], ["pair", "n"])
 
     # One row per pair, PAIRED squared at most.
-    counted = ids.select("ids").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    counted = ids.select("ids").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     total = np.zeros(PAIRED * PAIRED)
     total[counted.pair.to_numpy()] = counted.n.to_numpy()
     return total.reshape(PAIRED, PAIRED)
@@ -342,7 +342,7 @@ def base_scores(docs: DataFrame) -> DataFrame:
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, kinds = total[0] + texts, total[1] + (texts > 0)
     scale = float(tokens + kinds + 1)
-    frequent = counts.where(F.col("n") >= max(1.0, FREQUENT * tokens)).toPandas().sort_values("word")
+    frequent = counts.where(F.col("n") >= max(1.0, FREQUENT * tokens)).toArrow().to_pandas().sort_values("word")
     known_words = docs.sparkSession.sparkContext.broadcast((frequent.word.to_numpy(), frequent.n.to_numpy()))  # at most 1 / FREQUENT words
     end = math.log10((texts + 1) / scale)
 

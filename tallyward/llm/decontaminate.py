@@ -73,7 +73,7 @@ def inverse_frequencies(ids: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
 
     # One row per bucket.
-    counted = ids.select("ids").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counted = ids.select("ids").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     total = np.zeros(BUCKETS)
     total[counted.bucket.to_numpy()] = counted.n.to_numpy()
     return COMMON / (COMMON + total / max(1.0, total.sum()))
@@ -126,7 +126,7 @@ def latent_space(ids: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarra
     columns = [f"r{j}" for j in range(SKETCH_ROWS)]
     parts = ids.select("loc", "ids").mapInArrow(sketch, "bucket long, " + ", ".join(f"{c} float" for c in columns))
     # One row per bucket.
-    added = parts.groupBy("bucket").agg(*(F.sum(F.col(c).cast("double")).alias(c) for c in columns)).toPandas()
+    added = parts.groupBy("bucket").agg(*(F.sum(F.col(c).cast("double")).alias(c) for c in columns)).toArrow().to_pandas()
     product = np.zeros((SKETCH_ROWS, BUCKETS))
     product[:, added.bucket.to_numpy()] = added[columns].to_numpy().T
     _, singular, directions = np.linalg.svd(product, full_matrices=False)
