@@ -26,3 +26,17 @@ def components(links: DataFrame) -> DataFrame:
         if new == total:
             return roots
         total = new
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of the links that made ``roots`` and of ``links`` (a, b) together; only the roots that
+    the new links name are gone through again."""
+    side = links
+    for end in ("a", "b"):
+        named = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        side = side.join(named, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    between = side.where("root_a != root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct()
+    above = components(between).toDF("root", "above")
+    # A node without earlier links is its own root, and has no row in ``roots``.
+    fresh = above.join(roots.select(F.col("node").alias("root")), "root", "left_anti").toDF("node", "root")
+    return roots.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root")).unionByName(fresh)

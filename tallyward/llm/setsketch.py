@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import batches, mixed, sorted_distinct, table, word_hashes
-from tallyward.llm.graph import components
+from tallyward.llm.graph import components, merged
 from tallyward.plans.durable import durable
 
 WORDS = 5
@@ -298,13 +298,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = WORDS, m: in
     # What still shares a band across roots is compared further.
     rooted = members.select("band", "node").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     more = durable(_across(rooted, classes, sets, percent).join(tried, ["a", "b"], "left_anti"), "across")
-    links = links.union(_linked(more, sets, percent))
-    roots = components(links)
+    roots = merged(roots, _linked(more, sets, percent))
     named = classes.join(roots, "node", "left").select("h1", "h2", "n_shingles", "low", "node", F.coalesce("root", "node").alias("root"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     names = durable(named.join(lowest, "root").select("h1", "h2", "n_shingles", "component_id", F.col("root").alias("class_root"), F.col("node").alias("class_id")), "names")
     # A class may hold a third of all rows: a sort-merge join, whose large partitions Spark splits.
-    # A class may hold a third of all rows: a sort-merge join, whose large partitions Spark splits.
     return own.drop("registers").join(names.hint("merge"), ["h1", "h2", "n_shingles"], "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),

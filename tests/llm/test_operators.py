@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyward.llm import attention, decontaminate, html, language, linededup, packing, pii, search, setsketch, sharding
 from tallyward.llm.common import WordIds, tokenizer_path, word_hashes, words_of
+from tallyward.llm.graph import components, merged
 
 
 def read(sf, name="documents"):
@@ -156,6 +157,29 @@ def test_surrogates_that_meet_are_drawn_again(spark):
     assert pii.surrogates(some, "k").select("surrogate").distinct().count() == 5
 
 
+def smallest_reachable(links):
+    root = {n: n for link in links for n in link}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    return root
+
+
+@pytest.mark.parametrize("late", [0, 1, 25])
+def test_components_and_links_found_later(spark, late):
+    draw = np.random.default_rng(late)
+    links = [tuple(sorted(map(int, draw.choice(120, 2, replace=False)))) for _ in range(70)] + [(i, i + 1) for i in range(200, 230)]
+    first, then = links[late:], [*links[:late], *[(500 + i, 3 + i) for i in range(late)]]
+    frame = [spark.createDataFrame(x, "a long, b long") for x in (first, then)]
+    roots = components(frame[0])
+    assert dict(roots.collect()) == smallest_reachable(first)
+    assert dict(merged(roots, frame[1]).collect()) == smallest_reachable(first + then)
+
+
 def brute_components(docs, percent=85):
     sets = {}
     for name, text in docs:
