@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.functions import coercion as C
 from tallyward.operators.scoring import VELOCITY_SECONDS, time_slot
 from tallyward.schemas import SOURCE_ID
 
@@ -35,22 +36,24 @@ def stream_dedup(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 
 def stream_velocity(
-    events: DataFrame, seconds: int = VELOCITY_SECONDS, delay: str = "10 minutes", salts: int = SALTS,
+    events: DataFrame, seconds: int = VELOCITY_SECONDS, delay: str = "10 minutes", salts: int = SALTS, watermarked: bool = False,
 ) -> DataFrame:
     """Add ``velocity_5min`` once the watermark has passed the end of a row's bucket.
 
     The value is that of the batch operator, however the stream was cut into batches. Rows
     later than ``delay`` are dropped and counted in the query progress as
     ``numRowsDroppedByWatermark``; use micro-batch velocity to alert at once. Counts are
-    combined map-side, and the join back is keyed by account, bucket and salt.
+    combined map-side, and the join back is keyed by account, bucket and salt. Null accounts
+    count as one account named ``UNKNOWN``, as in the batch operator. ``watermarked`` tells
+    that ``events`` carry a watermark already, as after ``stream_dedup``; it stays the only one.
     """
-    # A watermark set earlier in the plan, as by stream_dedup, stays the only one.
-    marked = events if _has_watermark(events) else events.withWatermark("event_ts", delay)
+    marked = events if watermarked else events.withWatermark("event_ts", delay)
+    account = F.coalesce(F.col("nameOrig"), F.lit(C.UNKNOWN))
     counts = (
-        marked.groupBy(F.window("event_ts", f"{seconds} seconds").alias("w"), "nameOrig")
+        marked.groupBy(F.window("event_ts", f"{seconds} seconds").alias("w"), account.alias("_account"))
         .agg(F.count(F.lit(1)).cast("double").alias("velocity_5min"))
         .select(
-            F.col("nameOrig").alias("_account"),
+            "_account",
             F.col("w.start").alias("_start"),
             F.col("w.end").alias("_end"),
             "velocity_5min",
@@ -62,7 +65,7 @@ def stream_velocity(
         "_salt": F.pmod(F.xxhash64(*[F.col(c) for c in SOURCE_ID]), F.lit(salts)).cast("int"),
     })
     same_bucket = (
-        (F.col("nameOrig") == F.col("_account"))
+        (account == F.col("_account"))
         & (F.col("_slot") == time_slot(F.col("_start"), seconds))
         & (F.col("_salt") == F.col("_copy"))
     )
@@ -70,6 +73,3 @@ def stream_velocity(
     in_range = (F.col("event_ts") >= F.col("_start")) & (F.col("event_ts") < F.col("_end"))
     return rows.join(counts, same_bucket & in_range).select(*events.columns, "velocity_5min")
 
-
-def _has_watermark(df: DataFrame) -> bool:
-    return "EventTimeWatermark" in df._jdf.queryExecution().logical().toString()

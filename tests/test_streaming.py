@@ -158,6 +158,8 @@ def in_order(spark, rows, path, files):
 
 def test_event_time_velocity_does_not_depend_on_batches(spark, sf, path):
     rows = fixture.transactions(spark, sf).select(*SOURCE_ID, "event_ts", "nameOrig", "amount")
+    rows = rows.withColumn("nameOrig", F.when(F.col("source_offset").cast("long") % 10 != 0, F.col("nameOrig")))
+    assert rows.where("nameOrig IS NULL").count() > 50
     out = drain(stream_velocity(in_order(spark, rows, path, 3)), path)
     from tallyward.operators.scoring import add_velocity
 
@@ -181,7 +183,7 @@ def test_state_partitions_hold_for_the_stream_only(spark, path):
 def test_dedup_then_velocity_on_one_watermark(spark, sf, path):
     base = fixture.transactions(spark, sf).select(*SOURCE_ID, "event_ts", "nameOrig", "amount", "kafka_ingest_ts")
     rows = fixture.with_duplicates(base).drop("kafka_ingest_ts")
-    out = drain(stream_velocity(stream_dedup(in_order(spark, rows, path, 2))), path)
+    out = drain(stream_velocity(stream_dedup(in_order(spark, rows, path, 2)), watermarked=True), path)
     from tallyward.operators.scoring import add_velocity
 
     same(out, add_velocity(base.drop("kafka_ingest_ts")))
