@@ -41,7 +41,7 @@ BLOCK = 2048
 # A band with at most so many pairs to compare lists them; others are compared in blocks.
 FEW = 400
 # Registers, of 8 bits, that settle which pairs of a crowded band need their full sets.
-FINE = 512
+FINE = 2048
 
 
 def shingle_hashes(words: np.ndarray, size: int = WORDS) -> np.ndarray:
