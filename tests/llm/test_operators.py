@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import zlib
@@ -268,6 +269,28 @@ def test_language_model(spark, sf, odd_docs):
     assert attention.score_texts(odd_docs, tokenizer_path()).count() == odd_docs.count()
 
 
+def test_language_model_learns_from_the_end_of_long_texts_and_from_rare_pairs(spark):
+    # More than 30,000 ids, of 3,000 kinds; behind them a pair of rare ones.
+    vocabulary = json.load(open(tokenizer_path(), encoding="utf-8"))["model"]["vocab"]
+    *words, one, other = sorted(w[:-4] for w in vocabulary if re.fullmatch("[a-z]{5,}</w>", w))[:3002]
+    filler = words * 11
+    names = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows = [(names[0], " ".join(filler + [one, other] + words[:9])), (names[1], " ".join(filler)),
+            (held[0], f"{one} {other}"), (held[1], f"{other} {one}")]
+    got = {r["doc_id"]: r["score"] for r in attention.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect()}
+    assert got[held[0]] > got[held[1]] + 0.1
+
+
+def test_every_training_row_is_read_as_often():
+    for passes in (1, 3):
+        total, done, times = attention.PARTS * passes, 0.0, Counter()
+        for share, _ in attention.ROUNDS:
+            times.update({p: attention.readings(p, round(done * total), round((done + share) * total)) for p in range(attention.PARTS)})
+            done += share
+        assert set(times.values()) == {passes}
+
+
 def test_a_windowed_score_reads_every_id_once():
     for size in (1, 31, 32, 33, 56, 57, 1000):
         owner, first, done = attention.windows(np.array([size]))
