@@ -4,7 +4,8 @@ Passages of all documents are TF-IDF vectors over hashed words. One pass multipl
 passages with a sparse random sign matrix; the singular vectors of this small product are the leading
 directions, in which passages and benchmark items are compared by cosine. The cosine with any item is at most
 the share of a passage's norm that lies on words of the benchmark, so passages with a small share are not
-looked at further. A passage near an item is then read word by word: the longest common subsequence with the item
+looked at further. Besides, every place with as many words in a row of an item as a copy must have is a candidate, whatever
+its cosine. A candidate is then read word by word: the longest common subsequence with the item
 decides, and for a reworded item also its answer, the last sentence, has to be there.
 """
 
@@ -27,8 +28,8 @@ SKETCH_ROWS = 128
 RANK = 96
 HALF = 16
 COSINE = 0.42
-# Least share of a passage's squared norm on words of the benchmark.
-COVERED = 0.33
+# Least share of a passage's squared norm on words of the benchmark: with less its cosine with every item is below the floor.
+COVERED = COSINE ** 2
 # A word with this share of all words has half the weight of a rare one.
 COMMON = 1e-3
 # Share of an item's words, in order, that makes a copy; less, but with the answer, makes a reworded one.
@@ -166,6 +167,77 @@ class _Item:
         return (length - row.bit_count()) / length
 
 
+def _grams(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of so many words."""
+    last = len(words) - size + 1
+    return sum(words[k:last + k].astype(np.uint64) * _FACTORS[k] for k in range(size)) if last > 0 else np.empty(0, np.uint64)
+
+
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+
+
+def copy_gram(n: int) -> int:
+    """So many words in a row, three at most, are left in each copy of an item of ``n`` words of which words were dropped or replaced."""
+    gone = int((1 - COPY) * n + 1e-9)
+    return min(3, -(-(n - gone) // (gone + 1)))
+
+
+def reworded_grams(n: int) -> tuple[int, int]:
+    """Size and number of runs of words that are left in each rewording of an item of ``n`` words of which words were dropped or
+    replaced: each word that goes takes two pairs with it."""
+    gone = int((1 - REWORDED) * n + 1e-9)
+    return (2, n - 1 - 2 * gone) if n - 1 - 2 * gone > 0 else (1, n - gone)
+
+
+class _Runs:
+    """Runs of words of one size of items, and how many of them a place needs to be looked at."""
+
+    def __init__(self, size: int, needs: dict[int, int], items: list[_Item]):
+        self.size = size
+        own = [_grams(items[k].words, size) for k in needs]
+        kinds, often = np.unique(np.concatenate(own), return_counts=True)
+        kept, left = [], []
+        for grams, need in zip(own, needs.values()):
+            # Of those that must be there, half may be the ones that most items have: the others are looked for.
+            rare = np.argsort(-often[np.searchsorted(kinds, grams)], kind="stable")[need // 2:]
+            kept.append(np.unique(grams[rare]))
+            left.append(need - need // 2)
+        grams, of_item = np.concatenate(kept), np.repeat(list(needs), [len(k) for k in kept])
+        order = np.argsort(grams, kind="stable")
+        self.grams, self.of_item = grams[order], of_item[order]
+        self.need = np.ones(len(items), np.int64)
+        self.need[list(needs)] = left
+        self.reach = np.array([2 * len(i.words) for i in items])
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[self.grams >> np.uint64(42)] = True
+
+    def places(self, words: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places, with their items, at which enough runs begin to stand close together; ``document`` has that of each word."""
+        grams = _grams(words, self.size)
+        at = np.flatnonzero(self.maybe[grams >> np.uint64(42)])
+        at = at[document[at] == document[at + self.size - 1]]
+        low, high = (np.searchsorted(self.grams, grams[at], side=side) for side in ("left", "right"))
+        n = high - low
+        place = np.repeat(at, n)
+        item = self.of_item[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        order = np.lexsort((place, item))
+        place, item = place[order], item[order]
+        other = np.arange(len(place)) + self.need[item] - 1
+        fits = other < len(place)
+        other = np.where(fits, other, 0)
+        enough = fits & (item[other] == item) & (document[place[other]] == document[place]) & (place[other] - place <= self.reach[item])
+        return place[enough], item[enough]
+
+
+def _runs(items: list[_Item]) -> list[_Runs]:
+    needs: dict[tuple[int, bool], dict[int, int]] = {}
+    for k, item in enumerate(items):
+        needs.setdefault((copy_gram(len(item.words)), True), {})[k] = 1
+        size, need = reworded_grams(len(item.words))
+        needs.setdefault((size, False), {})[k] = need
+    return [_Runs(size, some, items) for (size, _), some in needs.items()]
+
+
 def _item_words(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Words of an item and of its last sentence."""
     whole, last = word_hashes([text, _SENTENCE.split((text or "").strip())[-1]])
@@ -213,6 +285,7 @@ def _search(items_sent, weights_sent, cosine: float, kind: str, item_kind: str):
         targets = np.array(targets)
         targets /= np.maximum(np.linalg.norm(targets, axis=1), 1e-9)[:, None]
         of_item = np.array(of_item)
+        runs = _runs(items)
         ours = np.zeros(1 << 20, bool)
         ours[np.concatenate([i.words for i in items]) >> np.uint32(12)] = True
         for batch in frames:
@@ -230,9 +303,6 @@ def _search(items_sent, weights_sent, cosine: float, kind: str, item_kind: str):
                 alive = held + joined * held[follow] >= COVERED * (norm + joined * norm[follow])
                 wanted = alive.copy()
                 wanted[1:] |= (alive & joined)[:-1]
-                if not alive.any():
-                    base += len(documents)
-                    continue
                 sizes = np.diff(np.append(begins, len(words)))
                 vectors = np.zeros((len(begins), weights.shape[1]), np.float32)
                 vectors[wanted] = np.add.reduceat(weights[bucket[np.repeat(wanted, sizes)]],
@@ -242,21 +312,36 @@ def _search(items_sent, weights_sent, cosine: float, kind: str, item_kind: str):
                 passages /= np.maximum(np.linalg.norm(passages, axis=1), 1e-9)[:, None]
                 best: dict[tuple[int, int], tuple] = {}
                 starts = np.cumsum([0] + [len(d) for d in documents])
+
+                def read(d: int, k: int, first: int, near: float | None) -> None:
+                    item, margin = items[k], len(items[k].words)
+                    segment = documents[d][max(0, first - margin):first + 2 * HALF + margin].tolist()
+                    if not item.in_reach(segment):
+                        return
+                    share = item.share(segment)
+                    if share >= REWORDED:
+                        answer = item.share(segment, of_answer=True)
+                        if share >= COPY or answer >= REWORDED:
+                            if near is None:
+                                passage = weights[_bucket(documents[d][first:first + 2 * HALF])].sum(axis=0)
+                                near = float((targets[of_item == k] @ passage).max() / max(np.linalg.norm(passage), 1e-9))
+                            best[d, k] = max(best.get((d, k), ()), (share, answer, near))
+
                 for lo in range(0, len(passages), 4096):
                     near = passages[lo:lo + 4096] @ targets.T
                     for p, t in zip(*np.nonzero(near >= cosine)):
-                        d, item = int(owner[places[lo + p]]), items[of_item[t]]
-                        first = int(begins[places[lo + p]] - starts[d])
-                        margin = len(item.words)
-                        segment = documents[d][max(0, first - margin):first + 2 * HALF + margin].tolist()
-                        if not item.in_reach(segment):
-                            continue
-                        share = item.share(segment)
-                        if share >= REWORDED:
-                            answer = item.share(segment, of_answer=True)
-                            row = (share, answer, float(near[p, t]))
-                            if (share >= COPY or answer >= REWORDED) and row > best.get((d, int(of_item[t])), ()):
-                                best[d, int(of_item[t])] = row
+                        d = int(owner[places[lo + p]])
+                        read(d, int(of_item[t]), int(begins[places[lo + p]] - starts[d]), float(near[p, t]))
+                document = np.repeat(np.arange(len(documents)), np.diff(starts))
+                for some in runs:
+                    last = (-1, -1, 0)
+                    for place, k in zip(*(v.tolist() for v in some.places(words, document))):
+                        d = int(document[place])
+                        # Places that follow one another are read together.
+                        if last[:2] != (d, k) or place - last[2] > HALF:
+                            last = d, k, place
+                            if best.get((d, k), (0,))[0] < COPY:
+                                read(d, k, place - int(starts[d]), None)
                 rows += [(names[base + d], locs[base + d], items[k].name, c, share, answer, share >= COPY)
                          for (d, k), (share, answer, c) in sorted(best.items())]
                 base += len(documents)

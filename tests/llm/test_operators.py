@@ -229,6 +229,46 @@ def test_leaks(spark, sf, odd_docs):
     assert decontaminate.decontaminate(odd_docs, none).count() == odd_docs.count()
 
 
+def test_no_copy_and_no_rewording_in_place_is_lost(spark, sf):
+    draw = np.random.default_rng(4)
+    items, docs = [r for r in read(sf, "benchmark")], [words_of(r["text"]) for r in read(sf)]
+    docs = [[w.decode() for w in d] for d in docs if len(d) > 300][:20]
+    short = [(10_000 + i, " ".join(docs[i % 20][20 * i % 200:][:5 + i % 20])) for i in range(40)]
+    rows, held = [], set()
+    for n, (name, text) in enumerate([*((r["item_id"], r["text"]) for r in items), *short]):
+        item = text.split()
+        for kind, share in enumerate((1.0, 0.8)):
+            gone = set(draw.permutation(len(item))[:int(len(item) * (1 - share) + 1e-9)].tolist())
+            copy = [f"other{draw.integers(1000)}" if i in gone and draw.integers(2) else w for i, w in enumerate(item) if i not in gone or draw.integers(2)]
+            host = docs[(n + kind + 7) % len(docs)]
+            rows.append((len(rows), " ".join(host[:150] + copy + host[150:300])))
+            if sum(i not in gone for i in range(len(item))) >= 0.8 * len(item):
+                held.add((len(rows) - 1, name))
+    # No cosine at all: copies do not depend on it.
+    found = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                                spark.createDataFrame([*((r["item_id"], r["text"]) for r in items), *short], "item_id long, text string"), cosine=2.0)
+    got = {(r["doc_id"], r["item_id"]): r for r in found.collect()}
+    assert held and held <= got.keys() and all(got[h]["copy"] and -1.001 <= got[h]["cosine"] <= 1.001 for h in held)
+    plain = [(r["item_id"], " ".join(r["text"].lower().split())) for r in items]
+    whole = {(r["doc_id"], i) for r in read(sf) for i, t in plain if t in " ".join((r["text"] or "").lower().split())}
+    assert whole and whole <= {(r["doc_id"], r["item_id"]) for r in decontaminate.op8_decontamination(spark, sf).collect()}
+
+
+def test_rewordings_leave_as_many_runs_as_are_asked_for():
+    for n in range(1, 60):
+        size, need = decontaminate.reworded_grams(n)
+        gone = int((1 - decontaminate.REWORDED) * n + 1e-9)
+        for draw in range(40):
+            lost = np.random.default_rng(draw).permutation(n)[:gone]
+            kept = np.ones(n, bool)
+            kept[lost] = False
+            assert sum(kept[i:i + size].all() for i in range(n - size + 1)) >= need >= 1
+            size_of_copy = decontaminate.copy_gram(n)
+            kept = np.ones(n, bool)
+            kept[lost[:int((1 - decontaminate.COPY) * n + 1e-9)]] = False
+            assert any(kept[i:i + size_of_copy].all() for i in range(n - size_of_copy + 1))
+
+
 def test_lines(spark, sf, odd_docs):
     docs = sorted(read(sf), key=lambda r: r["doc_id"])
     lines = [[x for x in (r["text"] or "").split("\n") if x.encode().split()] for r in docs]
