@@ -2,8 +2,9 @@
 
 Each page's containers are scored by the text in them outside links; the deepest container that holds
 most of it gets the page's vote. Votes are counted per host and path, where a path is the chain of tags with
-their classes, digits taken out. Each page is then read again and its text taken from the containers
-on its host's path. A page without such a container gives the text of its own best one.
+their classes, digits taken out. Each page is then read again and its text taken from what the containers
+on its host's path have in common, and from its own best container, each widened to the article or main element around it;
+all text there that is not marked as something else stays.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ from tallyward.llm.common import table
 
 # Share of a page's text that the voted container holds at least.
 MOST = 0.8
-# Containers on the winning path count if they hold this share of the largest one's text.
-PART = 0.2
 _MARKUP = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/]|\Z)", re.I)
@@ -52,10 +51,11 @@ _FENCES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td"
 
 @dataclass
 class Page:
-    """Containers with their parents and paths, and blocks of text with their container and link-free length."""
+    """Containers with their parents, paths and tags, and blocks of text with their container and link-free length."""
 
     parents: list[int] = field(default_factory=lambda: [-1])
     paths: list[str] = field(default_factory=lambda: [""])
+    tags: list[str] = field(default_factory=lambda: [""])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
     def totals(self) -> list[int]:
@@ -77,6 +77,21 @@ class Page:
             at = largest
         return at
 
+    def around(self, some: list[int]) -> int:
+        """The outermost article around all of ``some`` containers, or else main, or else the innermost container of all of them."""
+        lines = []
+        for at in some:
+            line = [at]
+            while line[-1]:
+                line.append(self.parents[line[-1]])
+            lines.append(line[::-1])
+        common = []
+        for places in zip(*lines):
+            if len(set(places)) > 1:
+                break
+            common.append(places[0])
+        return next((at for tag in ("article", "main") for at in common if self.tags[at] == tag), common[-1])
+
     def below(self, tops: set[int]) -> list[str]:
         inside = [False] * len(self.parents)
         for at, parent in enumerate(self.parents):
@@ -175,6 +190,7 @@ def parse(source: str | None) -> Page:
         if tag in _CONTAINERS and not (dropped or own):
             page.parents.append(container)
             page.paths.append(f"{page.paths[container]}/{step}")
+            page.tags.append(tag)
             container = len(page.parents) - 1
         stack.append((tag, container, dropped or own, link or tag == "a", article or tag in ("article", "main")))
     end_block()
@@ -193,8 +209,7 @@ def extract(source: str | None, path: str | None) -> str:
     page = parse(source)
     total = page.totals()
     on_path = [i for i, p in enumerate(page.paths) if path is not None and p == path and total[i]]
-    most = max((total[i] for i in on_path), default=0)
-    tops = {i for i in on_path if total[i] >= PART * most} or {page.best(total)}
+    tops = {page.around(some) for some in (on_path, [page.best(total)]) if some}
     return "\n\n".join(page.below(tops))
 
 

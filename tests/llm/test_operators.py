@@ -59,6 +59,22 @@ def test_html_pages(spark, sf):
         assert got[r["page_id"]] == "\n\n".join(b for b in blocks if b)
 
 
+def test_html_keeps_headline_lead_and_short_sections(spark):
+    long = "word " * 200
+
+    def page(body):
+        return f"<body><div class=top>Site</div><nav>menu</nav>{body}<div class=comments>said</div></body>"
+
+    rows = [(1, "http://a.example/1", page(f"<article><h1>T</h1><div class=lead>Lead</div><div class=body><p>{long}</div><div class=share>s</div></article>")),
+            (2, "http://a.example/2", page(f"<article><h1>U</h1><div class=lead>Led</div><div class=body><p>{long}</div></article>")),
+            (3, "http://b.example/1", page(f"<main><section><p>{long}</section><section>Short</section><aside>x</aside><div class=note>Note</div></main>")),
+            (4, "http://c.example/1", page(f"<div><div class=part>{long}</div><p>Between</p><div class=part>Few</div></div>")),
+            (5, "http://c.example/2", page(f"<div><div class=part>{long}</div></div>"))]
+    got = {r["page_id"]: r["text"] for r in html.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    whole = long.strip()
+    assert got == {1: f"T\n\nLead\n\n{whole}", 2: f"U\n\nLed\n\n{whole}", 3: f"{whole}\n\nShort\n\nNote", 4: f"{whole}\n\nBetween\n\nFew", 5: whole}
+
+
 def test_best_fit_by_brute_force():
     lengths = np.random.default_rng(1).integers(1, 65, 300)
     sequence, offset = packing.best_fit_decreasing(lengths, 64)
