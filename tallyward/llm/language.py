@@ -123,10 +123,14 @@ def _machine(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, fit_rows_in_all: int = FIT_ROWS_IN_ALL) -> LanguageModel:
-    """Fit on ``labelled`` (text, lang): of each language the ``fit_rows`` rows that come first by a hash."""
-    labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"))
-    some = labelled.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= fit_rows).drop("_n")
+    """Fit on ``labelled`` (text, lang): of each language the ``fit_rows`` different texts that come first by a hash."""
+    labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", "text", F.xxhash64("text").alias("_a"), F.xxhash64(F.lit(1), "text").alias("_b"))
+    text = ["lang", "_a", "_b"]
+    order = Window.partitionBy("lang").orderBy("_a", "_b")
+    first = labelled.select(*text).distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= fit_rows).drop("_n")
+    # Copies of a text are left out only after the choice, so no other texts are moved; first has fit_rows rows of a language.
+    some = labelled.join(F.broadcast(first), text).groupBy(*text).agg(F.min("text").alias("text")).select("lang", "text")
 
     def count(frames: Iterator) -> Iterator:
         letters = _letter_table()

@@ -139,6 +139,16 @@ def test_language(spark, sf, odd_docs):
     assert all((r["lang_pred"] == "und") == (not re.search(r"[^\W\d_]", r["text"] or "")) for r in odd) and len(odd) == odd_docs.count()
 
 
+def test_languages_are_learned_from_different_texts(spark, sf):
+    by_lang = defaultdict(set)
+    for r in read(sf):
+        if r["text"] and r["lang"]:
+            by_lang[r["lang"]].add(r["text"][:500])
+    rows = [(t, lang) for lang, texts in by_lang.items() for t in sorted(texts)[:8]]
+    once, often = (language.fit(spark.createDataFrame(rows * n, "text string, lang string"), fit_rows=4) for n in (1, 5))
+    assert np.allclose(once.scale, often.scale) and np.allclose(once.weights, often.weights)
+
+
 def test_search(spark, sf):
     docs = [(r["doc_id"], words_of(r["text"])) for r in read(sf)]
     mean = sum(len(w) for _, w in docs) / len(docs)
