@@ -308,9 +308,12 @@ MESSAGE_BODY = (
 
 
 def plain(col: str) -> str:
-    long = f"regexp_replace(CAST(CAST({col} AS DECIMAL(38,9)) AS VARCHAR), '0+$', '')"
+    def long(scale: int) -> str:
+        # By way of text, so that the number's own digits are cut and not those of its binary value.
+        return f"regexp_replace(CAST(CAST(CAST({col} AS VARCHAR) AS DECIMAL(38,{scale})) AS VARCHAR), '0+$', '')"
+
     return (f"CASE WHEN {col} = 0 OR abs({col}) BETWEEN 0.001 AND 9999999.0 THEN CAST({col} AS VARCHAR) "
-            f"ELSE regexp_replace({long}, '\\.$', '.0') END")
+            f"ELSE regexp_replace(CASE WHEN abs({col}) < 0.001 THEN {long(30)} ELSE {long(9)} END, '\\.$', '.0') END")
 
 
 ORACLES: dict[str, str] = {

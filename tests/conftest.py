@@ -9,9 +9,9 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tallyward.session import configure  # noqa: E402
+from frames import SF  # noqa: E402
 
-SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+from tallyward.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.schemas import MICRO_BATCH, SILVER
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 RAW = {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import oracle
 import pytest
+from frames import SF
 
 import __spark_entry__ as entry_module
 
@@ -13,8 +14,6 @@ ORACLES = entry_module.oracle_sql()
 
 @pytest.fixture(scope="module")
 def duck():
-    from conftest import SF
-
     return oracle.connect(SF)
 
 
