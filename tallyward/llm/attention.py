@@ -223,7 +223,8 @@ def fit(training: DataFrame, rank: np.ndarray, classes: np.ndarray, n_ids: int)
         begin, end = round(done * total), round((done + share) * total)
         done += share
         times = {p: n for p in range(PARTS) if (n := readings(p, begin, end))}
-        sent = spark.sparkContext.broadcast((model, spread))
+        # Arrays only: what is broadcast does not carry the classes of this package with it.
+        sent = spark.sparkContext.broadcast((model.weights, spread.weights))
         some = training.select("ids", _part().alias("part")).where(F.col("part").isin(list(times)))
         parts = some.mapInArrow(_learn_part(known, sent, times, rate), "row long, n long, rows binary")
         # As many rows as the model has of each task; each row's are added up in one place.
@@ -238,7 +239,7 @@ def fit(training: DataFrame, rank: np.ndarray, classes: np.ndarray, n_ids: int)
 def _learn_part(known, sent, times: dict[int, int], rate: float):
     def learn(frames: Iterator) -> Iterator:
         rank, classes = known.value
-        model, spread = sent.value
+        model, spread = map(Attention, sent.value)
         # The broadcast stays as it is: other tasks of this process begin with it.
         learner = Learner(model.like(model.rows()), spread, rate)
         begin = len(model.weights["next"]) - 1
@@ -498,10 +499,11 @@ def model_scores(ids: DataFrame) -> DataFrame:
     known, gain = (frequent.column(c).to_numpy() for c in ("pair", "gain"))
     by_pair = np.argsort(known)
     model = fit(training, rank, classes, n_ids)
-    sent = spark.sparkContext.broadcast((model, rank, classes, shares, known[by_pair], gain[by_pair].astype(np.float32)))
+    sent = spark.sparkContext.broadcast((model.weights, rank, classes, (shares.alone, shares.left, shares.kinds), known[by_pair], gain[by_pair].astype(np.float32)))
 
     def score(frames: Iterator) -> Iterator:
-        learned = sent.value
+        weights, rank, classes, table, known, gain = sent.value
+        learned = Attention(weights), rank, classes, Shares(*table), known, gain
         for batch in frames:
             documents, found, rest, times = _ids(batch), [], [], []
             begin = 0
