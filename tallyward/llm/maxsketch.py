@@ -1,11 +1,11 @@
 """Ranked lexical search with hashed max-sketches.
 
-A forward index holds the documents in chunks: of each document its terms, by 64-bit hash, and how often each occurs.
+A forward index holds of each document its terms, by 64-bit hash, and how often each occurs.
 The impacts of a document's terms fold into a sketch: coordinate ``hash mod WIDTH`` holds the largest impact of the terms that
 fall there, rounded up. What a query finds at its terms' coordinates is an upper bound of the document's score.
-Queries are looked up in batches; of each chunk the documents are rescored exactly from the highest bound down, until no
-bound reaches the query's threshold, its k-th best score so far. A sixteenth of the chunks is searched first, so that all
-others begin with its thresholds. What the tasks keep is merged by one ranking; document counts and lengths are
+Queries are looked up in batches, in some documents' sketches at a time; these documents are rescored exactly from the highest
+bound down, until no bound reaches the query's threshold, its k-th best score so far. A sixteenth of the documents, by
+a hash of their place, is searched first, so that the search of all others begins with its thresholds. What the tasks keep is merged by one ranking; document counts and lengths are
 those of the whole table.
 """
 
@@ -24,7 +24,7 @@ from tallyward.plans.durable import durable, scratch
 TOP = 20
 WIDTH = 4_096  # coordinates of a sketch, a power of two
 CHUNK_DOCUMENTS, CHUNK_TERMS = 1_024, 250_000
-LEADING = 16  # one chunk in so many is searched first
+LEADING = 16  # one document in so many is searched first
 # Terms of all queries of a batch: some 16 bytes each on the driver and in every task.
 BATCH_TERMS = 2_000_000
 # The formula's constants.
@@ -52,45 +52,45 @@ def counted(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def build_index(docs: DataFrame) -> DataFrame:
-    """One row per chunk of documents with a term: names, sizes, where each document's terms begin, terms and times; the number of
-    documents and of all terms. ``leading`` marks the chunks that are searched first."""
+    """(doc_id, size, terms, times) of each document with a term: how many terms it has, the distinct ones in ascending order and how
+    often each is there. ``leading`` marks the documents that are searched first."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["names", "sizes", "starts", "terms", "times", "held", "words"]
 
     def index(frames: Iterator) -> Iterator:
         for batch in frames:
-            doc_ids = batch.column("doc_id")
-            held: list[tuple[int, np.ndarray]] = []
-            texts = batch.column("text").to_pylist()
-            for i, words in enumerate([*term_hashes(texts), None]):
-                if held and (words is None or len(held) >= CHUNK_DOCUMENTS or sum(len(w) for _, w in held) + len(words) > CHUNK_TERMS):
-                    sizes = np.array([len(w) for _, w in held], np.int64)
-                    terms, times, starts = counted([w for _, w in held])
-                    cells = [c.tobytes() for c in (sizes, starts, terms, times.astype(np.uint32))]
-                    chosen = doc_ids.take(pa.array([i for i, _ in held]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), chosen), *(pa.array([c], pa.binary()) for c in cells),
-                         pa.array([len(held)], pa.int64()), pa.array([int(sizes.sum())], pa.int64())], names)
-                    held = []
-                if words is not None and len(words):
-                    held.append((i, words))
-
-    chunks = docs.select("doc_id", "text").mapInArrow(
-        index, f"names array<{kind}>, sizes binary, starts binary, terms binary, times binary, held long, words long")
-    leading = (F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(LEADING)) == 0).alias("leading")
-    path, marked = scratch(docs.sparkSession, "index"), chunks.select("*", leading)
-    # By folder, so that neither search reads the other's chunks.
+            names, texts = batch.column("doc_id"), batch.column("text")
+            for begin in range(0, batch.num_rows, CHUNK_DOCUMENTS):
+                found = list(term_hashes(texts.slice(begin, CHUNK_DOCUMENTS).to_pylist()))
+                cells = [[c.tobytes() for c in (terms, times.astype(np.uint32))] for terms, times, _ in (counted([f]) for f in found)]
+                sizes = [len(f) for f in found]
+                yield pa.RecordBatch.from_arrays(
+                    [names.slice(begin, CHUNK_DOCUMENTS), pa.array(sizes, pa.int64()), *(pa.array([c[i] for c in cells], pa.binary()) for i in (0, 1))],
+                    ["doc_id", "size", "terms", "times"]).filter(pa.array([n > 0 for n in sizes], pa.bool_()))
+
+    found = docs.select("doc_id", "text").mapInArrow(index, f"doc_id {kind}, size long, terms binary, times binary")
+    marked = found.withColumn("leading", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(LEADING)) == 0)
+    path = scratch(docs.sparkSession, "index")
+    # By folder, so that neither search reads the other's documents.
     marked.write.partitionBy("leading").parquet(path)
     return docs.sparkSession.read.schema(marked.schema).parquet(path)
 
 
-def _arrays(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, ...]:
-    kinds = {"sizes": np.int64, "starts": np.int64, "terms": np.uint64, "times": np.uint32}
-    return tuple(np.frombuffer(batch.column(c)[row].as_py(), t) for c, t in kinds.items())
+def chunks_of(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """doc_ids, sizes, starts, terms and times of some documents at a time."""
+    sizes = batch.column("size").to_numpy()
+    many = np.cumsum([len(t.as_buffer()) // 8 for t in batch.column("terms")])
+    begin = 0
+    while begin < batch.num_rows:
+        before = many[begin - 1] if begin else 0
+        end = min(begin + CHUNK_DOCUMENTS, max(begin + 1, int(np.searchsorted(many, before + CHUNK_TERMS, side="right"))))
+        cells = [b"".join(v.as_buffer() for v in batch.column(c).slice(begin, end - begin)) for c in ("terms", "times")]
+        starts = np.append(0, many[begin:end] - before)
+        yield batch.column("doc_id").slice(begin, end - begin), sizes[begin:end], starts, np.frombuffer(cells[0], np.uint64), np.frombuffer(cells[1], np.uint32)
+        begin = end
 
 
 class Chunk:
-    """Documents of a chunk with their impacts and sketches."""
+    """Some documents with their impacts and sketches."""
 
     def __init__(self, sizes: np.ndarray, starts: np.ndarray, terms: np.ndarray, times: np.ndarray, documents: int, words: int):
         self.starts, self.terms = starts, terms
@@ -147,15 +147,14 @@ def weighted_queries(queries: DataFrame, index: DataFrame, documents: int) -> Da
 
     def held(frames: Iterator) -> Iterator:
         for batch in frames:
-            for row in range(batch.num_rows):
-                terms, n = np.unique(_arrays(batch, row)[2], return_counts=True)
+            for _, _, _, terms, _ in chunks_of(batch):
+                terms, n = np.unique(terms, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n.astype(np.int64))], ["term", "df"])
 
     asked = durable(queries.select("item_id", "text").mapInArrow(listed, f"item_id {kind}, terms array<long>, times array<long>")
                     .select(F.monotonically_increasing_id().alias("query"), "*"), "asked")
     each = asked.select("query", F.explode(F.arrays_zip("terms", "times")).alias("t")).select("query", F.col("t.terms").alias("term"), F.col("t.times").alias("times"))
-    chunks = index.select("sizes", "starts", "terms", "times")
-    frequency = (chunks.mapInArrow(held, "term long, df long").join(each.select("term").distinct(), "term", "left_semi")
+    frequency = (index.select("doc_id", "size", "terms", "times").mapInArrow(held, "term long, df long").join(each.select("term").distinct(), "term", "left_semi")
                  .groupBy("term").agg(F.sum("df").alias("df")))
     weight = F.floor(1000 * F.log(F.lit(float(2 * documents + 2)) / (2 * F.col("df") + 1)))
     found = each.join(frequency, "term").groupBy("query").agg(F.sort_array(F.collect_list(F.struct("term", (F.col("times") * weight).alias("weight")))).alias("t"))
@@ -165,7 +164,7 @@ def weighted_queries(queries: DataFrame, index: DataFrame, documents: int) -> Da
 
 def _searched(index: DataFrame, batch: DataFrame, documents: int, words: int, top: int) -> DataFrame:
     """(query, doc_id, score): per task what can be among the ``top`` of each query of ``batch`` (query, terms, weights, floor)."""
-    kind = index.schema["names"].dataType.elementType.simpleString()
+    kind = index.schema["doc_id"].dataType.simpleString()
     rows = batch.select("query", "terms", "weights", "floor").toArrow()
     sent = index.sparkSession.sparkContext.broadcast(
         [(q, np.array(t, np.int64).view(np.uint64), np.array(w, np.int64), f) for q, t, w, f in zip(*(c.to_pylist() for c in rows.columns))])
@@ -175,10 +174,9 @@ def _searched(index: DataFrame, batch: DataFrame, documents: int, words: int, to
         floors = {q: f for q, _, _, f in sent.value}
         element = None
         for batch in frames:
-            element = batch.schema.field("names").type.value_type
-            for row in range(batch.num_rows):
-                chunk = Chunk(*_arrays(batch, row), documents, words)
-                names = batch.column("names")[row].values
+            element = batch.schema.field("doc_id").type
+            for names, *cells in chunks_of(batch):
+                chunk = Chunk(*cells, documents, words)
                 for q, terms, weights, _ in sent.value:
                     found = chunk.best(terms, weights, floors[q], top)
                     if found:
@@ -190,7 +188,7 @@ def _searched(index: DataFrame, batch: DataFrame, documents: int, words: int, to
             flat = [(q, n, s) for q, some in best.items() for _, _, n, s in some]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in flat], t) for i, t in enumerate((pa.int64(), element, pa.int64()))], ["query", "doc_id", "score"])
 
-    found = index.select("names", "sizes", "starts", "terms", "times").mapInArrow(find, f"query long, doc_id {kind}, score long")
+    found = index.select("doc_id", "size", "terms", "times").mapInArrow(find, f"query long, doc_id {kind}, score long")
     found = durable(found, "found")
     sent.unpersist()
     return found
@@ -204,7 +202,7 @@ def ranked_search(queries: DataFrame, docs: DataFrame, top: int = TOP) -> DataFr
     queries or documents the result is empty. Terms are told apart by 64-bit hashes.
     """
     index = build_index(docs)
-    documents, words = index.agg(F.coalesce(F.sum("held"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    documents, words = index.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     weighted = weighted_queries(queries, index, documents)
     terms = weighted.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
     batches = max(1, -(-terms // BATCH_TERMS))

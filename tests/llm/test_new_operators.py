@@ -25,7 +25,7 @@ def read(sf, name="documents"):
 def odd_rows(n=40):
     """Nulls in every column, empty and blank texts, repeated rows and ids, one very long text."""
     rows = [(i, f"word{i % 7} b\nc{i}", "en", f"s{i % 3}", i) for i in range(n)]
-    rows += [(2, "again\n\n", None, "s1", 4), (2, "again\n\n", None, "s1", 4), (None, "no id\n", "de", None, None), (None, None, None, None, None),
+    rows += [(2, "again\n\n", None, "s2", 4), (2, "again\n\n", None, "s2", 4), (None, "no id\n", "de", None, None), (None, None, None, None, None),
              (50, "", "en", None, 0), (51, " \n\t ", "en", "", 4), (52, "ä ö\n" * 30_000, "de", "ß", 120_000)]
     return rows
 
