@@ -34,6 +34,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--alerts-path", required=True)
     p.add_argument("--quarantine-path", required=True)
     p.add_argument("--checkpoint", required=True)
+    p.add_argument("--late-path", help="table for rows that come --late-seconds after their velocity bucket has ended")
+    p.add_argument("--late-seconds", type=int)
     p.add_argument("--events-path")
     p.add_argument("--events-format", default="text")
     p.add_argument("--events-option", action="append", default=[], metavar="KEY=VALUE")
@@ -103,17 +105,16 @@ def main(argv: list[str] | None = None) -> int:
         paths = Sinks(
             bronze=args.raw_path, silver=args.scored_path, gold=args.alerts_path,
             quarantine=args.quarantine_path, checkpoint=args.checkpoint, events=args.events_path,
-            events_format=args.events_format, events_options=_pairs(args.events_option))
+            late=args.late_path, events_format=args.events_format, events_options=_pairs(args.events_option))
         settings = Settings(
             score_threshold=args.fraud_score_threshold, amount_threshold=args.high_amount_threshold,
             velocity_threshold=args.velocity_threshold, files_per_batch=args.output_partitions,
             trigger_seconds=args.trigger_seconds, available_now=args.available_now,
-            fail_on_bad_message=args.fail_on_bad_message)
+            fail_on_bad_message=args.fail_on_bad_message, late_seconds=args.late_seconds)
         score_stream(messages, PipelineModel.load(args.model_path), paths, settings).awaitTermination()
     elif args.job == "hourly":
-        counts = jobs.hourly(
-            spark, lake.read_silver(spark, args.silver_path), lake.read_labels(spark, args.labels_csv),
-            args.output_base, args.target_hour_utc)
+        counts = jobs.hourly_from_lake(
+            spark, args.silver_path, lake.read_labels(spark, args.labels_csv), args.output_base, args.target_hour_utc)
         print(counts)
     elif args.job == "load":
         print(jobs.load(spark, args.base, args.database, args.tables, args.write_disposition,

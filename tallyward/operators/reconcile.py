@@ -70,15 +70,15 @@ def lacks_event_time() -> Column:
     return F.try_to_timestamp(blank_to_null(F.col("event_emitted_at_utc"))).isNull()
 
 
-def repeats_elsewhere(silver: DataFrame, hour: str) -> DataFrame:
-    """Rows outside ``hour`` that repeat a message of that hour.
+def repeats_elsewhere(silver: DataFrame, hour: str, elsewhere: DataFrame | None = None) -> DataFrame:
+    """Rows outside ``hour``, of ``elsewhere`` if given, that repeat a message of that hour.
 
     Only a message without an event time can be stamped with two hours when it is delivered
     twice, so only the identities of such messages are looked for in the rest of silver.
     """
     suspects = filter_hour(silver, hour).where(lacks_event_time()).select(*SOURCE_ID).distinct()
     start = parse_hour(hour)
-    outside = silver.where(
+    outside = (silver if elsewhere is None else elsewhere).where(
         (F.col("event_ts") < F.lit(start)) | (F.col("event_ts") >= F.lit(start + timedelta(hours=1))))
     return outside.where(lacks_event_time()).join(suspects, SOURCE_ID, "left_semi").select(*silver.columns)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -40,34 +41,51 @@ def time_slot(ts: Column, seconds: int = VELOCITY_SECONDS) -> Column:
     return F.floor(F.unix_timestamp(ts) / F.lit(seconds))
 
 
-def add_velocity(df: DataFrame, seconds: int = VELOCITY_SECONDS, hot_rows: int = HOT_ACCOUNT_ROWS) -> DataFrame:
+def add_velocity(
+    df: DataFrame, seconds: int = VELOCITY_SECONDS, hot_rows: int = HOT_ACCOUNT_ROWS,
+    earlier: DataFrame | None = None, by: Sequence[str] = (),
+) -> DataFrame:
     """Transactions of the same origin account in the same time bucket, on every row.
 
     Counted by a map-side-combined aggregate and joined back, because a window over
     (account, bucket) would hold a hot account's rows in one task. A count above
     ``hot_rows`` is copied once per piece of that size, and the rows it belongs to are
-    spread over the pieces by a hash of their other columns.
+    spread over the pieces by a hash of their other columns. Rows of ``earlier`` count as
+    well but are not returned. Accounts of different values in ``by`` are different ones.
     """
-    key = ["_account", "_slot"]
-    slotted = df.withColumns({
-        "_account": F.coalesce("nameOrig", F.lit(C.UNKNOWN)),
-        "_slot": F.coalesce(time_slot(F.col("event_ts"), seconds), F.lit(-1)),
-    })
+    key = [*by, "_account", "_slot"]
+
+    def slotted(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({
+            "_account": F.coalesce("nameOrig", F.lit(C.UNKNOWN)),
+            "_slot": F.coalesce(time_slot(F.col("event_ts"), seconds), F.lit(-1)),
+        })
+
+    counted = slotted(df).select(*key)
+    if earlier is not None:
+        counted = counted.unionByName(slotted(earlier).select(*key))
     counts = (
-        slotted.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+        counted.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_pieces", F.ceil(F.col("_n") / F.lit(hot_rows)))
     )
     # Each row here stands for over hot_rows input rows, so its size is bounded by their number.
     hot = F.broadcast(counts.where(F.col("_n") > hot_rows).select(*key, "_pieces"))
     rest = F.xxhash64(*[F.col(c) for c in df.columns])
     salt = F.when(F.col("_pieces").isNotNull(), F.pmod(rest, F.col("_pieces"))).otherwise(F.lit(0))
-    salted = slotted.join(hot, key, "left").withColumn("_salt", salt).drop("_pieces")
+    salted = slotted(df).join(hot, key, "left").withColumn("_salt", salt).drop("_pieces")
     copies = counts.select(
         *key, F.col("_n").cast("double").alias("velocity_5min"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1)).alias("_salt"))
     return salted.join(copies, [*key, "_salt"], "left").select(*df.columns, "velocity_5min")
 
 
+def apply_velocity_rule(df: DataFrame, velocity: float = VELOCITY_THRESHOLD) -> DataFrame:
+    """The flags that depend on ``velocity_5min``, after it has changed."""
+    high = F.col("velocity_5min") >= F.lit(float(velocity))
+    others = F.col("rule_high_score") | F.col("rule_high_amount_transfer")
+    return df.withColumns({"rule_high_velocity": high, "is_alert": others | high})
+
+
 def balance_features() -> dict[str, Column]:
     amount, old_org, new_org = F.col("amount"), F.col("oldbalanceOrg"), F.col("newbalanceOrig")
     old_dest, new_dest = F.col("oldbalanceDest"), F.col("newbalanceDest")
@@ -83,8 +101,8 @@ def add_balance_features(df: DataFrame) -> DataFrame:
     return df.withColumns(balance_features())
 
 
-def engineer(df: DataFrame, seconds: int = VELOCITY_SECONDS) -> DataFrame:
-    return add_balance_features(add_velocity(df, seconds))
+def engineer(df: DataFrame, seconds: int = VELOCITY_SECONDS, earlier: DataFrame | None = None) -> DataFrame:
+    return add_balance_features(add_velocity(df, seconds, earlier=earlier))
 
 
 def apply_rules(

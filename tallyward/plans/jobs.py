@@ -28,10 +28,11 @@ WAREHOUSE_TABLES = [
 
 def hourly(
     spark: SparkSession, silver: DataFrame, labels: DataFrame, out: str,
-    target_hour: str | None = None, as_of: datetime | None = None,
+    target_hour: str | None = None, as_of: datetime | None = None, elsewhere: DataFrame | None = None,
 ) -> dict[str, int]:
     """Deduplicate silver, attach labels, write curated / retraining / monitoring by hour and
-    return row counts.
+    return row counts. Where ``silver`` is the target hour alone, ``elsewhere`` holds the rest, read
+    only for repeats of messages without an event time.
 
     Curated is written first and is the input of the other two tables, so the
     deduplication and the join run once and survive lost executors. The label delay of all
@@ -51,7 +52,7 @@ def hourly(
         raise ValueError("The chosen window holds no scored transactions.")
     delivered = window
     if target_hour and span["untimed"]:
-        delivered = window.unionByName(reconcile.repeats_elsewhere(silver, target_hour))
+        delivered = window.unionByName(reconcile.repeats_elsewhere(silver, target_hour, elsewhere))
     scored = reconcile.filter_hour(reconcile.dedup_scored(delivered), target_hour)
     joined = reconcile.reconcile(
         scored, reconcile.dedup_labels(labels), as_of, load=reconcile.business_key_load(window))
@@ -85,6 +86,16 @@ def hourly(
     }
 
 
+def hourly_from_lake(
+    spark: SparkSession, silver_path: str, labels: DataFrame, out: str,
+    target_hour: str | None = None, as_of: datetime | None = None,
+) -> dict[str, int]:
+    """The hourly job over a stored silver table. Of one that the scoring stream wrote, a target hour reads its own folders."""
+    silver = lake.read_silver(spark, silver_path, target_hour)
+    elsewhere = spark.read.parquet(silver_path).select(*silver.columns) if target_hour else None
+    return hourly(spark, silver, labels, out, target_hour, as_of, elsewhere)
+
+
 def load(
     spark: SparkSession, base: str, database: str, tables: list[str] | None = None,
     disposition: str = "WRITE_TRUNCATE", create_database: bool = True, location: str | None = None,

@@ -493,6 +493,18 @@ FROM (SELECT *, '[Fraud Alert] ' || type || ' from ' || nameOrig || ' score=' ||
     "stream_bronze": sql(["txn", "raw", "received"], f"SELECT {shown(BRONZE)} FROM received"),
     "stream_silver": sql(["txn", "raw", "received", "streamed"], f"SELECT {shown(SILVER)} FROM streamed"),
     "stream_alerts": sql(["txn", "raw", "received", "streamed"], f"SELECT {shown(SILVER)} FROM streamed WHERE is_alert"),
+    "stream_silver_many_batches": sql(["txn", "raw", "received", "streamed"], f"SELECT {shown(SILVER)} FROM streamed"),
+    "stream_alerts_many_batches": sql(
+        ["txn", "raw", "received", "streamed"], f"SELECT {shown(SILVER.replace('velocity_5min:f ', ''))} FROM streamed WHERE is_alert"),
+    "stream_events_many_batches": sql(["txn", "raw", "received", "streamed"], """
+SELECT source_offset, md5(concat_ws('|', source_topic, source_partition, source_offset)) AS event_id, 'true' AS is_alert
+FROM streamed WHERE is_alert"""),
+    "stream_late_rows": sql(["txn", "raw", "received"], f"""
+SELECT source_offset, CASE WHEN held_back AND timed AND ended <= latest - INTERVAL 600 SECOND THEN 'late' ELSE 'silver' END AS written_to
+FROM (SELECT *, event_id % 50 = 7 AS held_back, event_id % 83 <> 0 AS timed,
+             make_timestamp(CAST((floor(epoch(event_ts) / 300) + 1) * 300000000 AS BIGINT)) AS ended,
+             max(event_ts) FILTER (event_id % 50 <> 7 AND event_id % 83 <> 0 AND CAST(substr(kafka_ingest_ts, 12, 2) AS INTEGER) < 9) OVER () AS latest
+      FROM received)"""),
     "stream_velocity": sql(["txn", "scored"], f"SELECT {shown('source_offset nameOrig event_ts:t velocity_5min:f')} FROM scored"),
     "stream_dedup": sql(["txn"], f"SELECT {shown('source_topic source_partition source_offset event_ts:t amount:f')} FROM txn"),
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,8 @@ from tallyward.streaming.velocity import state_partitions, stream_dedup, stream_
 
 Query = Callable[[SparkSession, str], DataFrame]
 TARGET_HOUR = "2024-01-01-05"
+# Micro-batches of the streams that are fed in turns, and files of each.
+TURNS, FILES = 8, 4
 MONTH = (datetime(2024, 1, 1, 2, tzinfo=timezone.utc), datetime(2024, 1, 1, 9, tzinfo=timezone.utc))
 
 
@@ -535,16 +538,49 @@ def compaction(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- streams ---------------------------------------------------------------------------
 
-def _score_messages(spark: SparkSession, sf: str) -> Sinks:
+def _stream_paths(spark: SparkSession) -> tuple[str, Sinks]:
     base = scratch(spark, "stream")
-    fx.messages(spark, sf).write.json(f"{base}/in")
-    paths = Sinks(*[f"{base}/{name}" for name in ["bronze", "silver", "gold", "quarantine", "checkpoint", "events"]])
-    stream = events.read_events(spark, "json", path=f"{base}/in", schema=MESSAGE)
+    names = ["bronze", "silver", "gold", "quarantine", "checkpoint", "events", "late"]
+    return f"{base}/in", Sinks(*[f"{base}/{name}" for name in names])
+
+
+def _score_messages(spark: SparkSession, sf: str) -> Sinks:
+    source, paths = _stream_paths(spark)
+    fx.messages(spark, sf).write.json(source)
+    stream = events.read_events(spark, "json", path=source, schema=MESSAGE)
     query = score_stream(stream, fx.surrogate_score, paths, Settings(available_now=True, as_of=fx.AS_OF))
     query.awaitTermination()
     return paths
 
 
+def _score_in_turns(spark: SparkSession, deliveries: list[DataFrame], late_seconds: int | None = None) -> Sinks:
+    """Each delivery as one micro-batch."""
+    source, paths = _stream_paths(spark)
+    for rows in deliveries:
+        rows.repartition(FILES).write.mode("append").json(source)
+    stream = events.read_events(spark, "json", events.pacing_options("json", FILES), source)
+    settings = Settings(available_now=True, as_of=fx.AS_OF, late_seconds=late_seconds)
+    query = score_stream(stream, fx.surrogate_score, paths, settings)
+    query.awaitTermination()
+    assert len(query.recentProgress) == len(deliveries)
+    return paths
+
+
+@cache
+def _score_scattered(spark: SparkSession, sf: str) -> Sinks:
+    """One run of the stream in a session, whose tables several queries look at."""
+    return _score_in_turns(spark, _scattered(spark, sf))
+
+
+def _scattered(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Messages dealt over eight deliveries by their offset, which cuts every bucket; every twentieth comes again with the next."""
+    messages = durable(fx.messages(spark, sf), "messages")
+    n = F.col("offset").cast("bigint")
+    again = messages.where(n % 20 == 0).withColumn("timestamp", F.concat("timestamp", F.lit("+1")))
+    return [messages.where(n % TURNS == i).unionByName(again.where(n % TURNS == (i - 1) % TURNS) if i else messages.limit(0))
+            for i in range(TURNS)]
+
+
 def stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
     written = spark.read.parquet(_score_messages(spark, sf).bronze)
     return comparable(written.select(*BRONZE.fieldNames()))
@@ -558,6 +594,37 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return comparable(lake.read_alerts(spark, _score_messages(spark, sf).gold))
 
 
+def stream_silver_many_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver is the same however messages are cut into micro-batches, and whichever come twice."""
+    paths = _score_scattered(spark, sf)
+    return comparable(lake.read_silver(spark, paths.silver).select(*SILVER.fieldNames()))
+
+
+def stream_alerts_many_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """So are the alerts, as they were written, and their flags; their velocity is that of the moment."""
+    paths = _score_scattered(spark, sf)
+    return comparable(lake.read_alerts(spark, paths.gold).drop("velocity_5min"))
+
+
+def stream_events_many_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Every alert is published once."""
+    paths = _score_scattered(spark, sf)
+    published = envelope.decode_alerts(spark.read.option("recursiveFileLookup", "true").text(paths.events))
+    return published.select("source_offset", "event_id", F.col("is_alert").cast("string").alias("is_alert"))
+
+
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages by the quarter of their time; some of the first quarters come with the last. What went to silver and what to the late table."""
+    messages = durable(fx.messages(spark, sf), "messages")
+    held_back = F.col("offset").cast("bigint") % 50 == 7
+    quarter = F.when(held_back, F.lit(3)).otherwise(F.floor(F.substring("timestamp", 12, 2).cast("int") / 3))
+    paths = _score_in_turns(spark, [messages.where(quarter == i) for i in range(4)], late_seconds=600)
+    return _tagged({
+        "silver": lake.read_silver(spark, paths.silver).select("source_offset"),
+        "late": spark.read.parquet(paths.late).select("source_offset"),
+    }, "written_to")
+
+
 def _stream_of(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Rows as a file stream, with one far-future row that pushes the watermark past them."""
     path = scratch(spark, "in")
@@ -653,6 +720,10 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
     "stream_alerts": stream_alerts,
+    "stream_silver_many_batches": stream_silver_many_batches,
+    "stream_alerts_many_batches": stream_alerts_many_batches,
+    "stream_events_many_batches": stream_events_many_batches,
+    "stream_late_rows": stream_late_rows,
     "stream_velocity": stream_velocity_query,
     "stream_dedup": stream_dedup_query,
 }

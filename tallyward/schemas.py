@@ -22,6 +22,9 @@ ENGINEERED = [
 ]
 RULE_FLAGS = ["rule_high_score", "rule_high_amount_transfer", "rule_high_velocity"]
 HOUR = "batch_hour_utc"
+# Folders of the silver table that a stream writes: the event's hour as a number like 2024010105, and who wrote it. Its
+# files also hold ``slot``, the number of the row's velocity bucket.
+SILVER_FOLDERS = ["event_hour", "run", "ingest_batch_id"]
 
 LABELLED_CSV = T.StructType([
     T.StructField("step", T.StringType()),

@@ -19,11 +19,11 @@ DISPOSITIONS = {
 }
 
 
-def compact(df: DataFrame, files: int | None = None) -> DataFrame:
-    """Fewer output files. With ``files``, at most that many; otherwise Spark merges small
-    partitions and cuts large ones to its advisory size."""
+def compact(df: DataFrame, files: int | None = None, *by: str) -> DataFrame:
+    """Fewer output files. With ``files``, at most that many (per folder); otherwise Spark brings rows together by ``by``,
+    merges small partitions and cuts large ones to its advisory size."""
     if files is None:
-        return df.hint("rebalance")
+        return df.hint("rebalance", *map(F.col, by))
     if files < 1:
         raise ValueError("files must be >= 1")
     return df.coalesce(files)
@@ -56,7 +56,7 @@ def ensure_database(spark: SparkSession, name: str, create: bool = True, locatio
 def clean_table_names(tables: Iterable[str]) -> list[str]:
     names = list(dict.fromkeys(t.strip() for t in tables if t.strip()))
     if not names:
-        raise ValueError("No valid tables provided.")
+        raise ValueError("Name at least one table to load.")
     return names
 
 
