@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.ml import PipelineModel
-
 from tallyward.operators import reports, scoring
 from tallyward.plans import jobs
 from tallyward.session import get_spark
-from tallyward.sources import events, lake, sinks
+from tallyward.sources import events, lake, models, sinks
 from tallyward.streaming.score import Settings, Sinks, score_stream
 
 
@@ -111,7 +109,7 @@ def main(argv: list[str] | None = None) -> int:
             velocity_threshold=args.velocity_threshold, files_per_batch=args.output_partitions,
             trigger_seconds=args.trigger_seconds, available_now=args.available_now,
             fail_on_bad_message=args.fail_on_bad_message, late_seconds=args.late_seconds)
-        score_stream(messages, PipelineModel.load(args.model_path), paths, settings).awaitTermination()
+        score_stream(messages, models.load_serving(spark, args.model_path), paths, settings).awaitTermination()
     elif args.job == "hourly":
         counts = jobs.hourly_from_lake(
             spark, args.silver_path, lake.read_labels(spark, args.labels_csv), args.output_base, args.target_hour_utc)

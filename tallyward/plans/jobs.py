@@ -16,7 +16,7 @@ from tallyward.operators import quality, reconcile, training, warehouse
 from tallyward.operators.model import Trained, refresh, train_baseline
 from tallyward.plans.durable import durable
 from tallyward.schemas import CURATED, HOUR, MONITORING, RETRAINING, SOURCE_ID
-from tallyward.sources import lake, sinks
+from tallyward.sources import lake, models, sinks
 
 # Names of the hourly outputs and of the warehouse tables.
 HOURLY_TABLES = ["curated_scored", "retraining_dataset", "monitoring_hourly"]
@@ -179,7 +179,7 @@ def refresh_model(
 def train_first_model(spark: SparkSession, labels_csv: str, out: str, **options: Any) -> Trained:
     """Baseline model from the labelled CSV alone."""
     trained = train_baseline(lake.read_labels(spark, labels_csv), **options)
-    trained.model.write().overwrite().save(out)
+    models.serve(spark, out, models.add_version(spark, out, trained.model))
     return trained
 
 

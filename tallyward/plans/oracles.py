@@ -465,6 +465,11 @@ FROM (SELECT source_offset, CAST('0x' || substr({DIGEST}, 1, 8) AS BIGINT) % 100
 SELECT {shown(KEYS)}, isFraud FROM (SELECT *, {DIGEST} AS digest FROM txn ORDER BY digest LIMIT 500)"""),
     "refresh_gate": sql(["txn"], " UNION ALL ".join([
         gate("both", "true"), gate("one", "isFraud = 0"), gate("none", "isFraud IS NULL")])),
+    "refresh_job": sql(["txn"], "SELECT g.labels AS attempt, moved, useful, CAST(versions AS BIGINT) AS versions, g.* EXCLUDE (labels) FROM (VALUES "
+        "('first', 'true', 'true', 1), ('no_fraud', 'false', 'false', 1), ('again', 'true', 'true', 2), "
+        "('too_little_better', 'false', 'true', 3)) v(attempt, moved, useful, versions) JOIN (" + " UNION ALL ".join([
+            gate("first", "isFraud IS NOT NULL"), gate("no_fraud", "isFraud = 0"), gate("again", "isFraud IS NOT NULL"),
+            gate("too_little_better", "isFraud IS NOT NULL")]) + ") g ON g.labels = v.attempt"),
     "retraining_scan": sql(CURATED, f"SELECT {shown(KEYS)}, isFraud, {shown(FEATURES)} FROM curated WHERE isFraud IS NOT NULL"),
     "envelope_decode": sql(["txn", "raw", "received"], """
 SELECT source_topic, source_partition, source_offset, kafka_ingest_ts, CAST(step AS VARCHAR) AS step,
@@ -505,6 +510,8 @@ FROM (SELECT *, event_id % 50 = 7 AS held_back, event_id % 83 <> 0 AS timed,
              make_timestamp(CAST((floor(epoch(event_ts) / 300) + 1) * 300000000 AS BIGINT)) AS ended,
              max(event_ts) FILTER (event_id % 50 <> 7 AND event_id % 83 <> 0 AND CAST(substr(kafka_ingest_ts, 12, 2) AS INTEGER) < 9) OVER () AS latest
       FROM received)"""),
+    "stream_pull_offsets": sql(["txn"], """
+SELECT source_topic AS topic, source_partition AS "partition", source_offset AS "offset", 1 AS times, 'true' AS within_limit FROM txn"""),
     "stream_velocity": sql(["txn", "scored"], f"SELECT {shown('source_offset nameOrig event_ts:t velocity_5min:f')} FROM scored"),
     "stream_dedup": sql(["txn"], f"SELECT {shown('source_topic source_partition source_offset event_ts:t amount:f')} FROM txn"),
 }

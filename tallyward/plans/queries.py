@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyward.functions.coercion import to_bool
 from tallyward.functions.keys import TIMESTAMP_TEXT, timestamp_text
@@ -25,7 +26,9 @@ from tallyward.plans.durable import durable, scratch
 from tallyward.schemas import (
     BRONZE, ENGINEERED, FCT_SCORED, HOUR, JOIN_KEYS, LABELLED_CSV, MESSAGE, RETRAINING, RULE_FLAGS, SILVER, SOURCE_ID,
 )
-from tallyward.sources import events, lake, sinks
+from tallyward.sources import events, lake, models, sinks
+from tallyward.sources.event_log import read_event_log
+from tallyward.sources.message_log import append_segment, read_message_log
 from tallyward.streaming.score import Settings, Sinks, score_stream
 from tallyward.streaming.velocity import state_partitions, stream_dedup, stream_velocity
 
@@ -451,6 +454,25 @@ def model_refresh(spark: SparkSession, sf: str) -> DataFrame:
         "source_offset", "dataset_split", "fraud_score", "predicted_is_fraud", F.lit(trained.auc).alias("auc")))
 
 
+def refresh_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Four refreshes of one model: a good one, one without fraud labels, another good one, and one that would have to be
+    better by far. Which of them moved the pointer, and how many versions there are then."""
+    root = scratch(spark, "models")
+    data = durable(training.training_dataset(fx.curated(spark, sf)), "retraining")
+    attempts = {"first": (data, -1.0), "no_fraud": (data.where("isFraud = 0"), -1.0), "again": (data, -1.0), "too_little_better": (data, 1.0)}
+    rows = []
+    for attempt, (labels, least_gain) in attempts.items():
+        before = models.serving_version(spark, root)
+        refreshed, _, trained = refresh(labels, root, trees=4, depth=3, least_gain=least_gain)
+        now = models.serving_version(spark, root)
+        assert refreshed == (now != before)
+        useful = trained is not None and trained.auc > 0.6
+        rows.append((attempt, str(now != before).lower(), str(useful).lower(), len(models.versions(spark, root))))
+    moved = spark.createDataFrame(rows, "attempt string, moved string, useful string, versions long")
+    gates = _tagged({name: training.refresh_gate(labels) for name, (labels, _) in attempts.items()}, "attempt")
+    return comparable(moved.join(gates, "attempt"))
+
+
 # --- envelopes -------------------------------------------------------------------------
 
 def envelope_decode(spark: SparkSession, sf: str) -> DataFrame:
@@ -541,7 +563,7 @@ def compaction(spark: SparkSession, sf: str) -> DataFrame:
 def _stream_paths(spark: SparkSession) -> tuple[str, Sinks]:
     base = scratch(spark, "stream")
     names = ["bronze", "silver", "gold", "quarantine", "checkpoint", "events", "late"]
-    return f"{base}/in", Sinks(*[f"{base}/{name}" for name in names])
+    return f"{base}/in", Sinks(*[f"{base}/{name}" for name in names], events_format="event_log")
 
 
 def _score_messages(spark: SparkSession, sf: str) -> Sinks:
@@ -609,7 +631,7 @@ def stream_alerts_many_batches(spark: SparkSession, sf: str) -> DataFrame:
 def stream_events_many_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Every alert is published once."""
     paths = _score_scattered(spark, sf)
-    published = envelope.decode_alerts(spark.read.option("recursiveFileLookup", "true").text(paths.events))
+    published = envelope.decode_alerts(read_event_log(spark, paths.events))
     return published.select("source_offset", "event_id", F.col("is_alert").cast("string").alias("is_alert"))
 
 
@@ -625,6 +647,35 @@ def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     }, "written_to")
 
 
+def stream_pull_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """A message log pulled a few messages at a time, with a restart: how often each message arrived."""
+    base = scratch(spark, "pull")
+    messages = durable(fx.messages(spark, sf), "messages")
+    n = F.col("offset").cast("bigint")
+    for i in range(3):
+        append_segment(messages.where(n % 3 == i).repartition(2), f"{base}/log", i)
+    limit = messages.count() // 7 + 1
+    sizes: list[int] = []
+
+    def pull() -> StreamingQuery:
+        stream = read_message_log(spark, f"{base}/log", f"{base}/progress.json", limit)
+        return (stream.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint")
+                .trigger(processingTime="0 seconds").start(f"{base}/pulled"))
+
+    query = pull()
+    while not query.recentProgress and query.isActive:
+        query.awaitTermination(1)
+    query.stop()
+    sizes += [p["numInputRows"] for p in query.recentProgress]
+    query = pull()
+    query.processAllAvailable()
+    query.stop()
+    sizes += [p["numInputRows"] for p in query.recentProgress]
+    pulled = spark.read.schema(MESSAGE).parquet(f"{base}/pulled")
+    return pulled.groupBy("topic", "partition", "offset").agg(F.count(F.lit(1)).alias("times")).withColumn(
+        "within_limit", F.lit(str(max(sizes) <= limit).lower()))
+
+
 def _stream_of(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Rows as a file stream, with one far-future row that pushes the watermark past them."""
     path = scratch(spark, "in")
@@ -709,6 +760,7 @@ QUERIES: dict[str, Query] = {
     "model_train": model_train,
     "model_score": model_score,
     "model_refresh": model_refresh,
+    "refresh_job": refresh_job,
     "envelope_decode": envelope_decode,
     "envelope_quarantine": envelope_quarantine,
     "alert_envelopes": alert_envelopes,
@@ -724,6 +776,7 @@ QUERIES: dict[str, Query] = {
     "stream_alerts_many_batches": stream_alerts_many_batches,
     "stream_events_many_batches": stream_events_many_batches,
     "stream_late_rows": stream_late_rows,
+    "stream_pull_offsets": stream_pull_offsets,
     "stream_velocity": stream_velocity_query,
     "stream_dedup": stream_dedup_query,
 }

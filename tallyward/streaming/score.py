@@ -22,6 +22,7 @@ from tallyward.operators.envelope import encode_envelopes, parse_messages
 from tallyward.operators.model import score
 from tallyward.operators.reconcile import keep_first, lacks_event_time
 from tallyward.schemas import BRONZE, SILVER, SILVER_FOLDERS, SOURCE_ID
+from tallyward.sources.event_log import publish
 from tallyward.sources.events import IDLE_SECONDS, trigger
 from tallyward.sources.lake import stored_hours
 from tallyward.sources.sinks import compact
@@ -33,8 +34,8 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Sinks:
-    """Paths of the tables. ``late`` takes rows that come too late, where ``Settings.late_seconds`` is set. ``events_format`` is ``text`` for files under ``events`` or a
-    broker format such as ``kafka``, whose options then name the topic."""
+    """Paths of the tables. ``late`` takes rows that come too late, where ``Settings.late_seconds`` is set. ``events_format`` is ``text`` for files under ``events``,
+    ``event_log`` for a log there that shows each micro-batch's events at once, or a broker format such as ``kafka``, whose options then name the topic."""
 
     bronze: str
     silver: str
@@ -148,7 +149,9 @@ def _hour(second: int) -> int:
 
 def _write_events(alerts: DataFrame, sinks: Sinks, at: str) -> None:
     envelopes = encode_envelopes(alerts, emitted_at=F.col("event_ts"))
-    if sinks.events_format == "text":
+    if sinks.events_format == "event_log":
+        publish(envelopes, sinks.events, at)
+    elif sinks.events_format == "text":
         envelopes.select("value").write.mode("overwrite").text(f"{sinks.events}/{at}")
     else:
         envelopes.write.format(sinks.events_format).options(**sinks.events_options).save()
