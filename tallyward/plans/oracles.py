@@ -465,6 +465,12 @@ FROM (SELECT source_offset, CAST('0x' || substr({DIGEST}, 1, 8) AS BIGINT) % 100
 SELECT {shown(KEYS)}, isFraud FROM (SELECT *, {DIGEST} AS digest FROM txn ORDER BY digest LIMIT 500)"""),
     "refresh_gate": sql(["txn"], " UNION ALL ".join([
         gate("both", "true"), gate("one", "isFraud = 0"), gate("none", "isFraud IS NULL")])),
+    "auc_exact": sql(["txn"], " UNION ALL ".join(f"""
+SELECT '{tag}' AS scores, p AS positives, n AS negatives, round(1e-9 + (ranks - p * (p + 1) / 2.0) / (CAST(p AS DOUBLE) * n), 6) AS auc
+FROM (SELECT count(*) FILTER (isFraud = 1) AS p, count(*) FILTER (isFraud = 0) AS n, sum(r) FILTER (isFraud = 1) AS ranks
+      FROM (SELECT isFraud, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r
+            FROM (SELECT isFraud, {score} AS s FROM txn WHERE isFraud IS NOT NULL)))""" for tag, score in [
+                ("as_scored", "fraud_score"), ("coarse", "floor(fraud_score * 4)")])),
     "refresh_job": sql(["txn"], "SELECT g.labels AS attempt, moved, useful, CAST(versions AS BIGINT) AS versions, g.* EXCLUDE (labels) FROM (VALUES "
         "('first', 'true', 'true', 1), ('no_fraud', 'false', 'false', 1), ('again', 'true', 'true', 2), "
         "('too_little_better', 'false', 'true', 3)) v(attempt, moved, useful, versions) JOIN (" + " UNION ALL ".join([

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyward.functions.coercion import to_bool
 from tallyward.functions.keys import TIMESTAMP_TEXT, timestamp_text
 from tallyward.operators import envelope, quality, reconcile, reports, scoring, training, warehouse
-from tallyward.operators.model import refresh, score, train_baseline
+from tallyward.operators.model import exact_auc, refresh, score, train_baseline
 from tallyward.plans import fixture as fx
 from tallyward.plans import jobs
 from tallyward.plans.durable import durable, scratch
@@ -454,6 +454,13 @@ def model_refresh(spark: SparkSession, sf: str) -> DataFrame:
         "source_offset", "dataset_split", "fraud_score", "predicted_is_fraud", F.lit(trained.auc).alias("auc")))
 
 
+def auc_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """How well the score tells fraud apart, over all labelled rows and with coarse scores that tie."""
+    rows = _labelled(spark, sf).select("fraud_score", "isFraud")
+    return comparable(_tagged({
+        "as_scored": exact_auc(rows), "coarse": exact_auc(rows.withColumn("fraud_score", F.floor(F.col("fraud_score") * 4)))}, "scores"))
+
+
 def refresh_job(spark: SparkSession, sf: str) -> DataFrame:
     """Four refreshes of one model: a good one, one without fraud labels, another good one, and one that would have to be
     better by far. Which of them moved the pointer, and how many versions there are then."""
@@ -760,6 +767,7 @@ QUERIES: dict[str, Query] = {
     "model_train": model_train,
     "model_score": model_score,
     "model_refresh": model_refresh,
+    "auc_exact": auc_exact,
     "refresh_job": refresh_job,
     "envelope_decode": envelope_decode,
     "envelope_quarantine": envelope_quarantine,
