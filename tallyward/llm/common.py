@@ -46,8 +46,9 @@ def read_whole(path: str) -> str:
         return f.read()
 
 
-# Marks that end a word. After a letter or digit and before a space they are always tokens of their own.
-_END_MARKS = re.compile(r"(?<=[^\W_])[.,!?;:%#$&*|]+(?=[ \n])")
+# Marks that end a word. After a letter or digit and before a space they are always tokens of their own; but the tokenizer
+# lower-cases this one letter to two characters, and its dot joins the mark.
+_END_MARKS = re.compile(r"(?<=[^\W_\u0130])[.,!?;:%#$&*|]+(?=[ \n])")
 
 
 def _pieces(text: str | None) -> list[str]:
