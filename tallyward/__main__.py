@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from tallyward.operators import reports, scoring
+from tallyward.operators import reconcile, reports, scoring
 from tallyward.plans import jobs
 from tallyward.session import get_spark
 from tallyward.sources import events, lake, models, sinks
@@ -62,6 +62,7 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("warehouse", help="build dimensions, facts and mart and run the assertions")
     p.add_argument("--base", required=True, help="folder of the hourly tables")
     p.add_argument("--output", required=True)
+    p.add_argument("--hour-utc", action="append", help="YYYY-MM-DD-HH, may be repeated: update only these hours of a warehouse built before")
 
     p = sub.add_parser("refresh-model", help="retrain from the retraining table, or from silver and labels")
     p.add_argument("--retraining", help="table name or path")
@@ -120,7 +121,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "warehouse":
         built = jobs.build_warehouse(
             spark, lake.read_table_layout(spark, args.base, "curated_scored"),
-            lake.read_table_layout(spark, args.base, "monitoring_hourly"), args.output)
+            lake.read_table_layout(spark, args.base, "monitoring_hourly"), args.output,
+            [reconcile.parse_hour(h) for h in args.hour_utc] if args.hour_utc else None)
         failed = built.failed()
         print(failed or "all assertions hold")
         return 1 if failed else 0

@@ -59,24 +59,37 @@ def stg_monitoring(monitoring: DataFrame) -> DataFrame:
     )
 
 
-def dim_account(stg: DataFrame) -> DataFrame:
-    """Every account seen as origin or destination, from one scan of staging."""
-    touches = stg.select(
+def account_touches(stg: DataFrame) -> DataFrame:
+    """One row per account of a transaction, origin and destination, from one scan of staging; ``period`` is its hour."""
+    return stg.select(
         F.explode(F.array("origin_account", "destination_account")).alias("account_id"),
-        "event_ts", "amount",
+        F.col("event_hour_utc").alias("period"),
+        F.col("event_ts").alias("first_seen_ts"), F.col("event_ts").alias("last_seen_ts"),
+        F.lit(1).cast("bigint").alias("transaction_touch_count"), F.col("amount").alias("total_amount_touched"),
     ).where(F.col("account_id").isNotNull())
-    return (
-        touches.groupBy("account_id")
-        .agg(
-            F.min("event_ts").alias("first_seen_ts"),
-            F.max("event_ts").alias("last_seen_ts"),
-            F.count(F.lit(1)).alias("transaction_touch_count"),
-            F.sum("amount").alias("total_amount_touched"),
-        )
-        .select(natural_key(F.col("account_id")).alias("account_key"), "*")
+
+
+def merge_touches(touches: DataFrame, *by: str) -> DataFrame:
+    """Touches of an account, or partial figures of some, in one row. All four figures can be merged again, and the sum is
+    of exact decimals, so that merging hours to days and months changes nothing."""
+    return touches.groupBy(*by, "account_id").agg(
+        F.min("first_seen_ts").alias("first_seen_ts"),
+        F.max("last_seen_ts").alias("last_seen_ts"),
+        F.sum("transaction_touch_count").alias("transaction_touch_count"),
+        F.sum("total_amount_touched").cast(NUMERIC).alias("total_amount_touched"),
     )
 
 
+def dim_account_of(touches: DataFrame) -> DataFrame:
+    """Every account, from touches or partial figures."""
+    return merge_touches(touches).select(natural_key(F.col("account_id")).alias("account_key"), "*")
+
+
+def dim_account(stg: DataFrame) -> DataFrame:
+    """Every account seen as origin or destination, from one scan of staging."""
+    return dim_account_of(account_touches(stg))
+
+
 def dim_transaction_type(stg: DataFrame) -> DataFrame:
     kinds = stg.where(F.col("transaction_type").isNotNull()).select("transaction_type").distinct()
     return kinds.select(natural_key(F.col("transaction_type")).alias("transaction_type_key"), "transaction_type")

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from tallyward.functions.keys import hour_of
 from tallyward.operators import quality, reconcile, training, warehouse
 from tallyward.operators.model import Trained, refresh, train_baseline
 from tallyward.plans.durable import durable
-from tallyward.schemas import CURATED, HOUR, MONITORING, RETRAINING, SOURCE_ID
+from tallyward.schemas import CURATED, HOUR, MART, MONITORING, RETRAINING, SOURCE_ID
 from tallyward.sources import lake, models, sinks
 
 # Names of the hourly outputs and of the warehouse tables.
@@ -24,6 +24,8 @@ WAREHOUSE_TABLES = [
     "dim_account", "dim_transaction_type", "dim_time_hour",
     "fct_scored_transactions", "fct_fraud_alerts", "mart_fraud_hourly_kpis",
 ]
+# Levels at which figures of accounts are kept: an update reads the hours of a day, the days of a month and all months.
+ACCOUNT_LEVELS = ["hour", "day", "month"]
 
 
 def hourly(
@@ -138,27 +140,72 @@ def assertions(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return checks
 
 
-def build_warehouse(spark: SparkSession, curated: DataFrame, monitoring: DataFrame, out: str) -> Warehouse:
-    """Staging, dimensions, facts, mart and assertions. Each table is written once; later
-    models and the assertions read the written tables."""
-    stg, stg_mon = warehouse.stg_curated(curated), warehouse.stg_monitoring(monitoring)
-
-    def stored(name: str, df: DataFrame, by: str | None = None) -> DataFrame:
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(by) if by else writer).option("partitionOverwriteMode", "static").parquet(f"{out}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{out}/{name}").select(*df.columns)
+def build_warehouse(
+    spark: SparkSession, curated: DataFrame, monitoring: DataFrame, out: str, hours: list[datetime] | None = None,
+) -> Warehouse:
+    """Staging, facts, mart, dimensions and assertions. Each table is written once; later models and the assertions read
+    the written tables.
 
+    With ``hours`` a warehouse that was built before is brought in line with those hours of the curated table, and no
+    other hour of curated or of the facts is read: facts and account figures of the hours are replaced, the figures of
+    their days and months merged again, ``dim_account`` comes from the months, the small dimensions from the mart. Hours
+    that lost all their rows are emptied. Facts are checked in the hours only, which is enough for the uniqueness of their
+    keys, as a key holds the event time.
+    """
+    def changed(unit: str, column: str) -> Column:
+        if hours is None:
+            return F.lit(True)
+        return F.date_trunc(unit, F.col(column)).isin([F.date_trunc(unit, F.lit(h)) for h in hours])
+
+    def read(name: str, schema: T.StructType) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{out}/{name}").select(*schema.fieldNames())
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/{name}")
+        return read(name, df.schema)
+
+    def put(name: str, df: DataFrame, by: str, unit: str, periods: DataFrame) -> DataFrame:
+        """Replace the table, or of the changed hours its periods ``by``; those that ``periods`` has no rows of are emptied.
+        Returns what was written."""
+        part = changed(unit, by)
+        mode = "static" if hours is None else "dynamic"
+        df.write.partitionBy(by).mode("overwrite").option("partitionOverwriteMode", mode).parquet(f"{out}/{name}")
+        if hours is not None:
+            held = {r[0] for r in read(name, df.schema).where(part).select(by).distinct().collect()}
+            now = {r[0] for r in periods.select(by).distinct().collect()}
+            sinks.clear_hours(spark, f"{out}/{name}", sorted(held - now), df.schema, by)
+        return read(name, df.schema).where(part)
+
+    stg = warehouse.stg_curated(curated.where(changed("hour", HOUR)))
+    stg_mon = warehouse.stg_monitoring(monitoring.where(changed("hour", HOUR)))
+    # Curated files hold one hour each, so cutting the facts by hour needs no shuffle.
+    fact = put("fct_scored_transactions", warehouse.fct_scored(stg), "event_hour_utc", "hour", stg)
+    alerts = put("fct_fraud_alerts", warehouse.fct_alerts(fact), "event_hour_utc", "hour", warehouse.fct_alerts(fact))
+
+    partial = warehouse.account_touches(stg)
+    for unit in ACCOUNT_LEVELS:
+        name = f"account_touches_{unit}"
+        finer = partial.where(changed(unit, "period")).withColumn("period", F.date_trunc(unit, "period"))
+        merged = warehouse.merge_touches(finer, "period")
+        put(name, merged.hint("rebalance", F.col("period")), "period", unit, finer)
+        partial = read(name, merged.schema)
+
+    day = F.date_trunc("day", "event_hour_utc").alias("period")
+    mart = warehouse.mart_kpis(fact, stg_mon).select("*", day)
+    if hours is not None:
+        rest = read("mart_fraud_hourly_kpis", mart.schema).where(changed("day", "period") & ~changed("hour", "event_hour_utc"))
+        mart = durable(rest.unionByName(mart), "mart")
+    put("mart_fraud_hourly_kpis", mart.hint("rebalance", F.col("period")), "period", "day", mart)
+    mart = read("mart_fraud_hourly_kpis", mart.schema)
     tables = {
-        "dim_account": stored("dim_account", warehouse.dim_account(stg)),
-        "dim_transaction_type": stored("dim_transaction_type", warehouse.dim_transaction_type(stg)),
-        "dim_time_hour": stored("dim_time_hour", warehouse.dim_time_hour(stg)),
+        "dim_account": stored("dim_account", warehouse.dim_account_of(partial)),
+        "dim_transaction_type": stored("dim_transaction_type", warehouse.dim_transaction_type(mart)),
+        "dim_time_hour": stored("dim_time_hour", warehouse.dim_time_hour(mart)),
+        "fct_scored_transactions": read("fct_scored_transactions", fact.schema),
+        "fct_fraud_alerts": read("fct_fraud_alerts", alerts.schema),
+        "mart_fraud_hourly_kpis": mart.select(*MART.fieldNames()),
     }
-    # Curated files hold one hour each, so cutting the facts by date needs no shuffle.
-    fact = stored("fct_scored_transactions", warehouse.fct_scored(stg), "event_date")
-    tables["fct_scored_transactions"] = fact
-    tables["fct_fraud_alerts"] = stored("fct_fraud_alerts", warehouse.fct_alerts(fact), "event_date")
-    tables["mart_fraud_hourly_kpis"] = stored("mart_fraud_hourly_kpis", warehouse.mart_kpis(fact, stg_mon))
-    return Warehouse(tables, assertions(tables))
+    return Warehouse(tables, assertions({**tables, "fct_scored_transactions": fact, "fct_fraud_alerts": alerts}))
 
 
 def refresh_from_lake(

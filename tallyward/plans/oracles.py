@@ -378,6 +378,26 @@ FROM (SELECT DISTINCT date_trunc('hour', event_ts) AS h FROM txn)"""),
     "fct_scored_transactions": sql(FCT, f"SELECT {shown(FCT_COLUMNS)} FROM fct"),
     "fct_fraud_alerts": sql([*FCT, "alerts"], f"SELECT {shown(ALERT_COLUMNS)} FROM alerts"),
     "mart_fraud_hourly_kpis": sql(MART, f"SELECT {shown(MART_COLUMNS)} FROM mart"),
+    "warehouse_incremental": sql(MART, f"SELECT {shown(MART_COLUMNS)} FROM mart"),
+    "warehouse_incremental_accounts": sql([*FCT, "dim_account"], "SELECT " + shown(
+        "account_key account_id first_seen_ts:t last_seen_ts:t transaction_touch_count total_amount_touched:m")
+        + " FROM dim_account"),
+    "warehouse_job": sql([*MART, "alerts", "dim_account"], """
+SELECT 'dim_account' AS table_name, count(*) AS row_count FROM dim_account
+UNION ALL SELECT 'dim_transaction_type', count(DISTINCT transaction_type) FROM fct
+UNION ALL SELECT 'dim_time_hour', count(DISTINCT event_hour_utc) FROM fct
+UNION ALL SELECT 'fct_scored_transactions', count(*) FROM fct
+UNION ALL SELECT 'fct_fraud_alerts', count(*) FROM alerts
+UNION ALL SELECT 'mart_fraud_hourly_kpis', count(*) FROM mart
+UNION ALL SELECT 'violations', 0"""),
+    "load_job": sql([*CURATED, "monitoring"], """
+SELECT 'curated_scored' AS table_name, count(*) AS row_count, count(DISTINCT batch_hour_utc) AS hours FROM curated
+UNION ALL SELECT 'curated_scored_after_failure', count(*), count(DISTINCT batch_hour_utc) FROM curated
+UNION ALL SELECT 'retraining_dataset', count(*), count(DISTINCT batch_hour_utc) FROM curated WHERE is_label_available
+UNION ALL SELECT 'monitoring_hourly', count(*), count(DISTINCT batch_hour_utc) FROM monitoring"""),
+    "percentiles_merged": sql(CURATED, """
+SELECT CAST(CAST(event_ts AS DATE) AS VARCHAR) AS event_date, kind AS transaction_type, count(*) AS txn_count, 'true' AS within_error
+FROM (SELECT event_ts, unnest([type, 'ALL']) AS kind FROM curated) GROUP BY 1, 2"""),
     "dq_unique": sql([*CURATED, "doubled"], " UNION ALL ".join([
         duplicates("dim_account", "account_key"), duplicates("dim_time_hour", "time_hour_utc"),
         duplicates("dim_transaction_type", "transaction_type_key"),

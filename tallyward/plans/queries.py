@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyward.functions.coercion import to_bool
 from tallyward.functions.keys import TIMESTAMP_TEXT, timestamp_text
-from tallyward.operators import envelope, quality, reconcile, reports, scoring, training, warehouse
+from tallyward.operators import envelope, quality, quantiles, reconcile, reports, scoring, training, warehouse
 from tallyward.operators.model import exact_auc, refresh, score, train_baseline
 from tallyward.plans import fixture as fx
 from tallyward.plans import jobs
@@ -34,6 +34,7 @@ from tallyward.streaming.velocity import state_partitions, stream_dedup, stream_
 
 Query = Callable[[SparkSession, str], DataFrame]
 TARGET_HOUR = "2024-01-01-05"
+EMPTY_HOUR = "2024-01-01-07"
 # Micro-batches of the streams that are fed in turns, and files of each.
 TURNS, FILES = 8, 4
 MONTH = (datetime(2024, 1, 1, 2, tzinfo=timezone.utc), datetime(2024, 1, 1, 9, tzinfo=timezone.utc))
@@ -254,6 +255,85 @@ def mart_fraud_hourly_kpis(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- quality ---------------------------------------------------------------------------
 
+@cache
+def _updated_warehouse(spark: SparkSession, sf: str) -> jobs.Warehouse:
+    """A warehouse built while one hour lacked a third of its rows and had other amounts, another one lacked all and a third
+    one had rows too many; then updated by those hours."""
+    out = scratch(spark, "warehouse")
+    right = _stored(spark, sf)
+    n, hour = F.col("source_offset").cast("bigint"), F.date_format(HOUR, "yyyy-MM-dd-HH")
+    wrong = right.where((hour != TARGET_HOUR) | (n % 3 != 0)).where(hour != EMPTY_HOUR).withColumn(
+        "amount", F.when(hour == TARGET_HOUR, F.col("amount") + 1.0).otherwise(F.col("amount")))
+    moved = right.where(hour == TARGET_HOUR).withColumns({
+        "event_ts": F.col("event_ts") + F.expr("interval 1 year"), HOUR: F.col(HOUR) + F.expr("interval 1 year"),
+        "nameOrig": F.lit("gone")})
+    before = durable(wrong.unionByName(moved), "curated")
+    jobs.build_warehouse(spark, before, reconcile.hourly_monitoring(before), out)
+    hours = [reconcile.parse_hour(h) for h in (TARGET_HOUR, EMPTY_HOUR, TARGET_HOUR.replace("2024", "2025"))]
+    return jobs.build_warehouse(spark, right, reconcile.hourly_monitoring(right), out, hours)
+
+
+def warehouse_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The hourly mart of an updated warehouse."""
+    return comparable(_updated_warehouse(spark, sf).tables["mart_fraud_hourly_kpis"])
+
+
+def warehouse_incremental_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """The accounts of an updated warehouse."""
+    return comparable(_updated_warehouse(spark, sf).tables["dim_account"])
+
+
+def warehouse_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each table that the warehouse job builds, and how many rows violate an assertion."""
+    curated = _stored(spark, sf)
+    built = jobs.build_warehouse(spark, curated, reconcile.hourly_monitoring(curated), scratch(spark, "warehouse"))
+    counted = {**built.tables, "violations": _tagged(
+        {name: rows.select(F.lit(1).alias("one")) for name, rows in built.violations.items()}, "check")}
+    return _tagged({name: rows.agg(F.count(F.lit(1)).alias("row_count")) for name, rows in counted.items()}, "table_name")
+
+
+def load_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the tables after a load, a load that fails half-way and a second load of the same hours."""
+    out = scratch(spark, "hourly")
+    database = "loaded_" + out[-8:]
+    curated = _stored(spark, sf)
+    sinks.write_hourly(curated, f"{out}/curated_scored")
+    sinks.write_hourly(training.training_dataset(curated).select(*RETRAINING.fieldNames()), f"{out}/retraining_dataset")
+    sinks.write_hourly(reconcile.hourly_monitoring(curated), f"{out}/monitoring_hourly")
+    names = jobs.load(spark, out, database, location=f"{out}/db")
+    fails = F.when(F.col("source_offset") == "7", F.raise_error(F.lit("refused"))).otherwise(F.col("type").cast("string"))
+    try:
+        sinks.load_table(spark.table(names[0]).withColumn("type", fails), names[0], partition_by=HOUR)
+    except Exception as error:  # the failure is part of the query
+        if "refused" not in str(error):
+            raise
+    else:
+        raise RuntimeError("the load should have failed")
+    after_failure = {"curated_scored_after_failure": spark.table(names[0])}
+    kept = durable(_tagged({n: t.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(HOUR).alias("hours"))
+                            for n, t in after_failure.items()}, "table_name"), "kept")
+    again = jobs.load(spark, out, database)
+    return kept.unionByName(_tagged({
+        n.split(".")[1]: spark.table(n).agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(HOUR).alias("hours"))
+        for n in again}, "table_name"))
+
+
+def percentiles_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Per day, of each type and of all types: whether the merged 95th percentile stays within the stated error in rank."""
+    curated = _stored(spark, sf)
+    sketches = durable(quantiles.score_sketches(curated), "sketches")
+    kinds = F.explode(F.array(F.col("type"), F.lit("ALL"))).alias("transaction_type")
+    merged = quantiles.merged_percentile(
+        sketches.select(F.to_date(HOUR).alias("event_date"), kinds, "txn_count", "score_sketch"), 0.95, "event_date", "transaction_type")
+    rows = curated.select(F.to_date("event_ts").alias("event_date"), kinds, "fraud_score")
+    share = lambda held: F.count_if(held) / F.count("fraud_score")
+    ranks = rows.join(merged, ["event_date", "transaction_type"]).groupBy("event_date", "transaction_type", "txn_count").agg(
+        share(F.col("fraud_score") < F.col("score_percentile")).alias("below"),
+        share(F.col("fraud_score") <= F.col("score_percentile")).alias("up_to"))
+    return comparable(ranks.select("event_date", "transaction_type", "txn_count", (
+        (F.col("below") <= 0.95 + quantiles.RANK_ERROR) & (F.col("up_to") >= 0.95 - quantiles.RANK_ERROR)).alias("within_error")))
+
+
 def _tables(stg: DataFrame, stg_mon: DataFrame) -> dict[str, DataFrame]:
     fct = warehouse.fct_scored(stg)
     return {
@@ -739,6 +819,11 @@ QUERIES: dict[str, Query] = {
     "fct_scored_transactions": fct_scored_transactions,
     "fct_fraud_alerts": fct_fraud_alerts,
     "mart_fraud_hourly_kpis": mart_fraud_hourly_kpis,
+    "warehouse_incremental": warehouse_incremental,
+    "warehouse_incremental_accounts": warehouse_incremental_accounts,
+    "warehouse_job": warehouse_job,
+    "load_job": load_job,
+    "percentiles_merged": percentiles_merged,
     "dq_unique": dq_unique,
     "dq_nonnull": dq_nonnull,
     "dq_fk_origin": dq_fk_origin,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import datetime
 
@@ -17,6 +18,7 @@ DISPOSITIONS = {
     "WRITE_APPEND": "append",
     "WRITE_EMPTY": "errorifexists",
 }
+_LISTED = "spark.sql.hive.manageFilesourcePartitions"
 
 
 def compact(df: DataFrame, files: int | None = None, *by: str) -> DataFrame:
@@ -60,13 +62,52 @@ def clean_table_names(tables: Iterable[str]) -> list[str]:
     return names
 
 
+def _create_table(spark: SparkSession, df: DataFrame, table: str, location: str, partition_by: str | None) -> None:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    cut = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    # Partitions are found in the folder and not listed in the catalog, so that one change of the location replaces all.
+    before = spark.conf.get(_LISTED)
+    spark.conf.set(_LISTED, "false")
+    try:
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{cut} LOCATION '{location}'")
+    finally:
+        spark.conf.set(_LISTED, before)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder that a table's rows are in now."""
+    return next(r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r["col_name"] == "Location")
+
+
 def load_table(
     df: DataFrame, table: str, disposition: str = "WRITE_TRUNCATE", partition_by: str | None = None,
 ) -> None:
-    """Save ``df`` as a warehouse table, replacing, extending or only creating it."""
+    """Save ``df`` as a warehouse table, replacing, extending or only creating it.
+
+    Rows of a replacement are written to a folder of their own under that of the database; then one change of the catalog
+    points the table there. Readers see the old rows or the new ones, and a load that fails while it writes leaves the old
+    ones. Only a replacement with other columns drops the table and creates it again. Folders of earlier loads stay, for
+    queries that still read them, until the user removes them; ``table_location`` tells the one in use.
+    """
     if disposition not in DISPOSITIONS:
         raise ValueError(f"Unknown disposition {disposition!r}; choose one of {sorted(DISPOSITIONS)}")
-    writer = df.write.mode(DISPOSITIONS[disposition]).format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(table)
+    spark = df.sparkSession
+    there = spark.catalog.tableExists(table)
+    if there and disposition != "WRITE_TRUNCATE":
+        writer = df.write.mode(DISPOSITIONS[disposition]).format("parquet")
+        (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
+        return
+    database, _, name = table.rpartition(".")
+    root = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    staged = f"{root.rstrip('/')}/{name}_loads/{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(staged)
+    held = {f.name: f.dataType for f in spark.table(table).schema.fields} if there else None
+    cut = [c.name for c in spark.catalog.listColumns(table) if c.isPartition] if there else []
+    if held == {f.name: f.dataType for f in df.schema.fields} and cut == ([partition_by] if partition_by else []):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{staged}'")
+        spark.catalog.refreshTable(table)
+        return
+    if there:
+        spark.sql(f"DROP TABLE {table}")
+    _create_table(spark, df, table, staged, partition_by)

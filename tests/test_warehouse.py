@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from datetime import datetime
 
 import pytest
 from frames import at, scored
 from pyspark.sql import functions as F
 
-from tallyward.operators import quality, reconcile, reports, warehouse
-from tallyward.plans.jobs import assertions
+from tallyward.operators import quality, quantiles, reconcile, reports, warehouse
+from tallyward.plans.jobs import assertions, build_warehouse
 from tallyward.schemas import CURATED, FCT_ALERTS, FCT_SCORED, MART
 
 
@@ -155,3 +156,39 @@ def test_period_filter_includes_both_ends(spark):
     fct = built(spark, *[{"event_ts": at(3600 * h)} for h in range(4)])["fct_scored_transactions"]
     assert reports.filter_period(fct, at(3600), at(7200)).count() == 2
     assert reports.filter_period(fct, types=["DEBIT"]).count() == 0
+
+
+def hours_of_accounts(n, **changes):
+    return [{"event_ts": at(3600 * h), "nameOrig": f"C{h}", "source_offset": str(10 * n + h), **changes} for h in range(30)]
+
+
+def content(built):
+    return {name: sorted(map(str, df.select(*sorted(df.columns)).collect())) for name, df in built.tables.items()}
+
+
+def test_update_equals_a_full_build_and_reads_no_other_hour(spark, path):
+    old = curated(spark, *hours_of_accounts(1), *hours_of_accounts(2, type="DEBIT", is_alert=True))
+    build_warehouse(spark, old, reconcile.hourly_monitoring(old), f"{path}/wh")
+    # Hour 3 gets other rows and no alert, hour 5 loses all rows, hour 40 is new.
+    right = old.where(~F.hour("event_ts").isin(3, 5) | (F.col("event_ts") > F.lit(at(24 * 3600)))).unionByName(
+        curated(spark, {"event_ts": at(3 * 3600 + 1), "nameOrig": "new"}, {"event_ts": at(40 * 3600), "source_offset": "77"}))
+    hours = [at(3600 * 3), at(3600 * 5), at(3600 * 40)]
+    # Rows of other hours fail when they are read.
+    guarded = right.withColumn("amount", F.when(
+        F.col("batch_hour_utc").isin(hours), F.col("amount")).otherwise(F.raise_error(F.lit("read")).cast("double")))
+    updated = build_warehouse(spark, guarded, reconcile.hourly_monitoring(right), f"{path}/wh", hours)
+    full = build_warehouse(spark, right, reconcile.hourly_monitoring(right), f"{path}/full")
+    assert content(updated) == content(full)
+    assert updated.failed() == {} and full.failed() == {}
+    text = updated.violations["fk_origin_account_key"]._jdf.queryExecution().executedPlan().toString()
+    facts = [scan.split("\n")[0] for scan in text.split("FileScan")[1:] if "event_hour_utc" in scan.split("\n")[0]]
+    assert facts and all(re.search(r"PartitionFilters: \[.*date_trunc\(hour, event_hour_utc", scan) for scan in facts), text
+
+
+def test_percentiles_of_merged_sketches(spark):
+    rows = curated(spark, *[{"fraud_score": i / 200, "event_ts": at(60 * i)} for i in range(200)], {"fraud_score": None, "type": "DEBIT"})
+    sketches = quantiles.score_sketches(rows)
+    assert sketches.count() == 5
+    merged = {r["type"]: r for r in quantiles.merged_percentile(sketches, 0.95, "type").collect()}
+    assert merged["TRANSFER"]["txn_count"] == 200 and 0.94 <= merged["TRANSFER"]["score_percentile"] <= 0.96
+    assert merged["DEBIT"]["txn_count"] == 1 and merged["DEBIT"]["score_percentile"] is None
