@@ -31,6 +31,13 @@ def row_key() -> list[Column]:
     return [F.xxhash64("doc_id", "text").alias("row_a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("row_b")]
 
 
+def spare_name(wanted: str, taken: list[str]) -> str:
+    """``wanted``, with underscores added while a column is named so."""
+    while wanted.lower() in {t.lower() for t in taken}:
+        wanted += "_"
+    return wanted
+
+
 def id_bucket(column: str, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``; null ids count as the text ``null``."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary")), F.lit(buckets))

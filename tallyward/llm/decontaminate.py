@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import mixed, table, word_hashes
+from tallyward.llm.common import mixed, spare_name, table, word_hashes
 from tallyward.plans.durable import durable
 
 # Hashed words, rows of the random product, singular directions, words of half a passage.
@@ -359,8 +359,9 @@ _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``docs`` (doc_id, text, any other columns) without the documents that hold a benchmark item."""
     found = durable(leaks(docs, benchmark, cosine).select("loc").distinct(), "leaks")
-    return docs.withColumn("_loc", F.xxhash64("doc_id", "text")).join(
-        found.toDF("_loc").hint("shuffle_hash"), "_loc", "left_anti").select(*docs.columns)
+    loc = spare_name("_loc", docs.columns)
+    return docs.withColumn(loc, F.xxhash64("doc_id", "text")).join(
+        found.toDF(loc).hint("shuffle_hash"), loc, "left_anti").select(*docs.columns)
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

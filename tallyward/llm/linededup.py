@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import batches, row_key, table
+from tallyward.llm.common import batches, row_key, spare_name, table
 from tallyward.plans.durable import durable
 
 MIN_WORDS = 50
@@ -123,18 +123,19 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     if min_words < 1:
         raise ValueError("min_words must be >= 1")
     docs = docs.drop("removed_lines")
+    *row, own = (spare_name(n, docs.columns) for n in ("_row_a", "_row_b", "_cuts"))
     # A document's own stretches: bounded by its lines.
     cuts = durable(later_copies(docs.select("doc_id", "text"), min_words).groupBy(*_KEY).agg(
-        F.collect_set(F.struct("seq", "length")).alias("_cuts")), "cuts")
+        F.collect_set(F.struct("seq", "length")).alias(own)).toDF(*row, own), "cuts")
     # Both joins read one shuffle of the texts; the hashed side never holds texts.
-    keyed = docs.select("*", *row_key())
-    tell = keyed.join(cuts.hint("shuffle_hash"), _KEY).drop(*_KEY)
-    schema = tell.drop("_cuts").withColumn("removed_lines", F.lit(0)).schema
+    keyed = docs.select("*", *(c.alias(n) for c, n in zip(row_key(), row)))
+    tell = keyed.join(cuts.hint("shuffle_hash"), row).drop(*row)
+    schema = tell.drop(own).withColumn("removed_lines", F.lit(0)).schema
 
     def rewrite(frames: Iterator) -> Iterator:
         for batch in frames:
             texts, removed = [], []
-            for text, cuts in zip(batch.column("text").to_pylist(), batch.column("_cuts").to_pylist()):
+            for text, cuts in zip(batch.column("text").to_pylist(), batch.column(own).to_pylist()):
                 gone = {i for c in cuts for i in range(c["seq"], c["seq"] + c["length"])}
                 kept, seq = [], -1
                 for line in text.split("\n"):
@@ -145,10 +146,10 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 texts.append("\n".join(kept))
                 removed.append(len(gone))
             columns = [pa.array(texts, batch.schema.field("text").type) if n == "text" else batch.column(n)
-                       for n in batch.schema.names if n != "_cuts"]
+                       for n in batch.schema.names if n != own]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32())], schema.names)
 
-    untouched = keyed.join(cuts.select(*_KEY).hint("shuffle_hash"), _KEY, "left_anti").drop(*_KEY).withColumn("removed_lines", F.lit(0))
+    untouched = keyed.join(cuts.select(*row).hint("shuffle_hash"), row, "left_anti").drop(*row).withColumn("removed_lines", F.lit(0))
     return untouched.unionByName(tell.mapInArrow(rewrite, schema))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import row_key, table
+from tallyward.llm.common import row_key, spare_name, table
 from tallyward.plans.durable import durable
 
 # Titles by gender, and what names are made of.
@@ -22,6 +22,8 @@ SYLLABLES = ["ba", "be", "da", "de", "fi", "ga", "ka", "la", "le", "li", "ma", "
              "te", "ti", "va", "ve", "vi", "za", "ze", "zo"]
 CYRILLIC_SYLLABLES = ["ба", "бе", "да", "де", "фи", "га", "ка", "ла", "ле", "ли", "ма", "ме", "ми", "на", "не", "ни", "па", "ра", "ре", "ри", "са", "се",
                       "си", "та", "те", "ти", "ва", "ве", "ви", "за", "зе", "зо"]
+GREEK_SYLLABLES = ["βα", "βε", "γα", "δα", "δε", "ζα", "θα", "θε", "κα", "κε", "κι", "λα", "λε", "λι", "μα", "με", "μι", "να", "νε", "νι", "πα", "πε",
+                   "πι", "ρα", "ρε", "ρι", "σα", "σε", "σι", "τα", "τε", "τι"]
 # What a keyed hash is made with. A secret of the caller, who keeps it to draw the same surrogates again.
 DEFAULT_KEY = "change-me"
 
@@ -35,11 +37,15 @@ _KINDS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
               r"|(?<=(?i:password|passwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{8,}",
-    "name": rf"(?<![\p{{L}}])(?:{_TITLES})\.? {{1,3}}\p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
+    "name": rf"(?<![\p{{L}}])(?:{_TITLES})\.? {{1,3}}\p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,3}}",
 }
 _ANY = "|".join(_KINDS.values())
 _TITLE = rf"^(?:{_TITLES})\.? +"
-_KEY = ["row_a", "row_b"]
+# A word that may be a name already met in its document, and the ending that is not part of one.
+_WORD = r"(?<![\p{L}'-])\p{Lu}[\p{L}'-]+"
+_POSSESSIVE = r"'[sS]$"
+# Stands between the new mentions of a document while they are one string; no pattern finds it.
+_BETWEEN = "\u0000"
 
 
 def _kind(mention: Column) -> Column:
@@ -50,9 +56,13 @@ def _kind(mention: Column) -> Column:
     return F.when(mention.rlike("^AKIA[0-9A-Z]{16}$"), F.lit("secret")).otherwise(found)
 
 
+def _stem(word: Column) -> Column:
+    return F.regexp_replace(word, _POSSESSIVE, "")
+
+
 def _canonical(kind: Column, mention: Column) -> Column:
-    name = F.regexp_replace(F.lower(F.regexp_replace(mention, _TITLE, "")), " +", " ")
-    return (F.when(kind == "email", F.lower(mention)).when(kind == "name", name)
+    """Of a name, ``mention`` is one of its words."""
+    return (F.when(kind == "email", F.lower(mention)).when(kind == "name", F.lower(_stem(mention)))
             .when(kind.isin("phone", "card", "ssn", "iban"), F.regexp_replace(mention, r"[^A-Za-z0-9+]", ""))
             .otherwise(mention))
 
@@ -113,18 +123,14 @@ def _surrogate(kind: Column, canon: Column, gender: Column, digest: Column) -> C
     card = redrawn(F.lit(1))
     body, own = F.substr(card, F.lit(1), F.length(card) - 1), F.substr(canon, F.lit(1), F.length(canon) - 1)
     card = F.when(F.right(canon, F.lit(1)) == _check_digit(own), F.concat(body, _check_digit(body))).otherwise(card)
-    words = F.split(canon, " ")
-
-    def word(w: Column, n: Column) -> Column:
-        number = [_draw(digest, n * 5 + k) for k in range(4)]
-        latin = F.concat(*(_pick(SYLLABLES, x) for x in number[:3]))
-        cyrillic = F.concat(*(_pick(CYRILLIC_SYLLABLES, x) for x in number[:3]))
-        first = (n == 0) & (F.size(words) > 1)
-        ending = F.when(~first | gender.isNull(), F.lit("")).when(gender == "f", F.lit("na")).otherwise(F.lit("no"))
-        russian = F.when(~first | gender.isNull(), F.lit("")).when(gender == "f", F.lit("на")).otherwise(F.lit("но"))
-        return F.when(w.rlike(r"\p{IsCyrillic}"), F.concat(cyrillic, russian)).otherwise(F.concat(latin, ending))
-
-    name = F.array_join(F.transform(words, word), " ")
+    number = [_draw(digest, F.lit(k)) for k in range(4)]
+
+    def spoken(syllables: list[str], female: str, male: str) -> Column:
+        ending = F.when(gender == "f", F.lit(female)).when(gender == "m", F.lit(male)).otherwise(F.lit(""))
+        return F.concat(*(_pick(syllables, x) for x in number), ending)
+
+    name = (F.when(canon.rlike(r"\p{IsCyrillic}"), spoken(CYRILLIC_SYLLABLES, "на", "но"))
+            .when(canon.rlike(r"\p{IsGreek}"), spoken(GREEK_SYLLABLES, "να", "νο")).otherwise(spoken(SYLLABLES, "na", "no")))
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "name", name).when(kind == "card", card)
             .when(kind == "phone", redrawn(F.when(canon.startswith("+"), F.lit(2)).otherwise(F.lit(0))))
             .when(kind == "iban", redrawn(F.lit(2)))
@@ -144,21 +150,26 @@ def _rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
                         (state["n"] + wordy.cast("int")).alias("n"))
 
     walked = F.aggregate(F.split(mention, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("n")), put, lambda s: s["out"])
-    own = F.regexp_replace(mention, _TITLE, "")
-    title = F.substr(mention, F.lit(1), F.length(mention) - F.length(own))
-    name = F.concat(title, F.when((F.upper(own) == own) & (F.length(own) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate)))
-    return F.when(kind == "ip", surrogate).when(kind == "name", name).otherwise(walked)
+    return F.when(kind == "ip", surrogate).when(kind == "name", _renamed(mention, surrogate)).otherwise(walked)
+
+
+def _renamed(word: Column, surrogate: Column) -> Column:
+    """A name's surrogate with the capitals and the ending of the word."""
+    stem = _stem(word)
+    new = F.when((F.upper(stem) == stem) & (F.length(stem) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate))
+    return F.concat(new, F.substr(word, F.length(stem) + 1, F.length(word)))
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, surrogate) for distinct ``entities`` (kind, canon, gender). Surrogates of a kind are distinct and equal
     no entity of the kind; of those that meet, the one with the smallest canonical form stays and others are drawn again."""
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     settled, open_ = None, durable(entities.withColumn("surrogate", F.lit(None).cast("string")), "entities")
     known = open_.select("kind", F.col("canon").alias("surrogate"))
     attempt = 0
     while True:
         digest = F.sha2(F.concat_ws("\u0001", F.lit(key), "kind", "canon", F.lit(str(attempt))), 512)
-        drawn = durable(open_.withColumn("surrogate", _surrogate(F.col("kind"), F.col("canon"), F.col("gender"), digest)), "drawn")
+        drawn = durable(open_.repartition(tasks, "kind", "canon").withColumn("surrogate", _surrogate(F.col("kind"), F.col("canon"), F.col("gender"), digest)), "drawn")
         taken = known if settled is None else known.union(settled.select("kind", "surrogate"))
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
         good = durable(first.join(taken, ["kind", "surrogate"], "left_anti").select("kind", "canon", "surrogate"), "good")
@@ -169,31 +180,65 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         attempt += 1
 
 
+def _written_over(text: Column, pattern: str, new: Column) -> Column:
+    """``text`` with its matches of ``pattern`` replaced by the values of ``new``, one after the other."""
+    parts = F.split(text, pattern, -1)
+    return F.array_join(F.transform(parts, lambda s, i: F.concat(s, F.coalesce(F.get(new, i), F.lit("")))), "")
+
+
 def replace_personal_data(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """``docs`` (doc_id, text, any other columns) with surrogates in ``text`` and the number of them, ``n_replaced``.
 
     E-mail and IP addresses, phone, card, social security and bank account numbers, credentials, and names after a title.
-    One entity has one surrogate throughout, different entities have different ones. Rows with equal doc_id and text
-    get equal results; null texts stay null with 0; an empty table stays empty; a column named n_replaced is replaced.
+    One entity has one surrogate throughout, different entities have different ones. Each word of a name is an entity, so
+    that a full name and its short forms agree; where a document names someone with a title, the words of that name are
+    replaced wherever else they stand capitalised in it. Given names take the gender of the title, words the letters of
+    their script (Latin, Cyrillic, Greek; others Latin).
+    Rows with equal doc_id and text get equal results; null texts stay null with 0; an empty table stays empty; a column
+    named n_replaced is replaced, all others stay, whatever their names.
     """
-    docs = docs.drop("n_replaced")
-    keyed = docs.select("*", *row_key())
-    found = keyed.select(*_KEY, F.posexplode(F.regexp_extract_all("text", F.lit(_ANY), F.lit(0))).alias("at", "mention"))
-    mentions = durable(found.withColumn("kind", _kind(F.col("mention"))).withColumn("canon", _canonical(F.col("kind"), F.col("mention")))
-                       .withColumn("gender", F.when(F.col("kind") == "name", _gender(F.col("mention")))), "mentions")
+    others = [c for c in docs.columns if c.lower() != "n_replaced"]
+    named = [spare_name(n, others) for n in ("_row_a", "_row_b", "_new_text", "_n_new")]
+    row, new_text, n_new = named[:2], named[2], named[3]
+    keyed = docs.select(*others, *(c.alias(n) for c, n in zip(row_key(), row)))
+    found = keyed.select(*row, F.posexplode(F.regexp_extract_all("text", F.lit(_ANY), F.lit(0))).alias("at", "mention"))
+    own = F.regexp_replace("mention", _TITLE, "")
+    is_name = F.col("kind") == "name"
+    words = F.when(is_name, F.split(own, " ")).otherwise(F.array("mention"))
+    mentions = durable(
+        found.withColumn("kind", _kind(F.col("mention"))).select(
+            *row, "at", "kind",
+            F.when(is_name, F.substr("mention", F.lit(1), F.length("mention") - F.length(own))).otherwise(F.lit("")).alias("lead"),
+            F.when(is_name & (F.size(words) > 1), _gender(F.col("mention"))).alias("gender"), F.posexplode(words).alias("place", "word"))
+        .withColumn("gender", F.when(F.col("place") == 0, F.col("gender")))
+        .withColumn("canon", _canonical(F.col("kind"), F.col("word"))), "mentions")
     # A name met with several titles takes the gender that comes first by name, if any.
     entities = mentions.groupBy("kind", "canon").agg(F.min("gender").alias("gender"))
     drawn = surrogates(entities, key)
     # One entity may be in a third of all mentions: a sort-merge join, whose large partitions Spark splits.
-    replaced = mentions.join(drawn.hint("merge"), ["kind", "canon"]).select(
-        *_KEY, F.struct("at", _rendered(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("new")).alias("put"))
+    replaced = durable(mentions.join(drawn.hint("merge"), ["kind", "canon"]), "replaced")
+    before = F.when(F.col("place") == 0, F.concat(F.lit(_BETWEEN), F.col("lead"))).otherwise(F.lit(" "))
+    put = replaced.select(*row, "kind", F.struct("at", "place", F.concat(
+        before, _rendered(F.col("kind"), F.col("word"), F.col("surrogate"))).alias("new")).alias("put"))
     # All mentions of a document: bounded by its text.
-    by_row = durable(replaced.groupBy(*_KEY).agg(F.sort_array(F.collect_set("put"))["new"].alias("_new")), "replaced")
-    parts = F.split("text", _ANY, -1)
-    text = F.array_join(F.transform(parts, lambda s, i: F.concat(s, F.coalesce(F.get(F.col("_new"), i), F.lit("")))), "")
-    joined = keyed.join(by_row.hint("shuffle_hash"), _KEY, "left")
-    return joined.select(*(F.when(F.col("_new").isNull(), F.col("text")).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns),
-                         F.coalesce(F.size("_new"), F.lit(0)).alias("n_replaced"))
+    by_row = put.groupBy(*row).agg(
+        F.split(F.array_join(F.sort_array(F.collect_set("put"))["new"], ""), _BETWEEN).alias("new"), F.max(F.col("kind") == "name").alias("has_name"))
+    changed = durable(
+        keyed.select(*row, "text").join(by_row.hint("shuffle_hash"), row).select(
+            *row, _written_over(F.col("text"), _ANY, F.slice("new", F.lit(2), F.size("new"))).alias("text"),
+            (F.size("new") - 1).alias("n"), "has_name").dropDuplicates(row), "changed")
+    # The words of a document's names, where they stand without a title.
+    names = replaced.where(is_name).select(*row, "canon", "surrogate").distinct()
+    bare = changed.where("has_name").select(*row, F.posexplode(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))).alias("at", "word"))
+    met = bare.withColumn("canon", F.lower(_stem(F.col("word")))).join(names, [*row, "canon"], "left").select(*row, F.struct(
+        "at", F.coalesce(_renamed(F.col("word"), F.col("surrogate")), "word").alias("new"), F.col("surrogate").isNotNull().cast("int").alias("one")).alias("put"))
+    met = met.groupBy(*row).agg(F.sort_array(F.collect_set("put")).alias("put"))
+    final = changed.join(met.hint("shuffle_hash"), row, "left").select(
+        *row, F.when(F.col("put").isNull(), F.col("text")).otherwise(_written_over(F.col("text"), _WORD, F.col("put")["new"])).alias(new_text),
+        (F.col("n") + F.coalesce(F.aggregate("put", F.lit(0), lambda n, p: n + p["one"]), F.lit(0))).alias(n_new))
+    joined = keyed.join(durable(final, "final").hint("shuffle_hash"), row, "left")
+    return joined.select(*(F.coalesce(F.col(new_text), F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in others),
+                         F.coalesce(F.col(n_new), F.lit(0)).alias("n_replaced"))
 
 
 def op6_pii_surrogates(spark, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import batches, mixed, sorted_distinct, table, word_hashes
+from tallyward.llm.common import batches, mixed, sorted_distinct, spare_name, table, word_hashes
 from tallyward.llm.graph import components, merged
 from tallyward.plans.durable import durable
 
@@ -314,16 +314,17 @@ def representatives(docs: DataFrame, percent: int = 85, size: int = WORDS) -> Da
     """``docs`` (doc_id, text, any other columns) with one row of each group: that with the smallest doc_id,
     among equal ids the one whose (doc_id, text) hash is the smallest; of rows that repeat both, one stays.
     Rows without a word all stay."""
+    loc = spare_name("_loc", docs.columns)
     found = near_duplicates(docs, percent, size)
-    stay = durable(found.where("kept AND component IS NOT NULL").groupBy("component").agg(F.min("loc").alias("_loc")).select("_loc"), "stay")
-    rows = docs.withColumn("_loc", F.xxhash64("doc_id", "text"))
+    stay = durable(found.where("kept AND component IS NOT NULL").groupBy("component").agg(F.min("loc").alias(loc)).select(loc), "stay")
+    rows = docs.withColumn(loc, F.xxhash64("doc_id", "text"))
     empty = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = rows.where(~empty).join(stay.hint("shuffle_hash"), "_loc", "left_semi")
+    kept = rows.where(~empty).join(stay.hint("shuffle_hash"), loc, "left_semi")
     # Nothing but rows that repeat id and text can still be in one group.
-    twice = kept.groupBy("_loc").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_loc")
+    twice = kept.groupBy(loc).agg(F.count(F.lit(1)).alias("times")).where("times > 1").select(loc)
     if twice.isEmpty():
         return kept.unionByName(rows.where(empty)).select(*docs.columns)
-    return kept.dropDuplicates(["_loc"]).unionByName(rows.where(empty)).select(*docs.columns)
+    return kept.dropDuplicates([loc]).unionByName(rows.where(empty)).select(*docs.columns)
 
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
