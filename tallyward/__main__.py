@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import argparse
+from contextlib import nullcontext
 
 from tallyward.operators import reconcile, reports, scoring
 from tallyward.plans import jobs
 from tallyward.session import get_spark
 from tallyward.sources import events, lake, models, sinks
+from tallyward.streaming.metrics import recorded_progress
 from tallyward.streaming.score import Settings, Sinks, score_stream
 
 
@@ -34,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--late-path", help="table for rows that come --late-seconds after their velocity bucket has ended")
     p.add_argument("--late-seconds", type=int)
+    p.add_argument("--progress-path", help="table with a row for each micro-batch")
     p.add_argument("--events-path")
     p.add_argument("--events-format", default="text")
     p.add_argument("--events-option", action="append", default=[], metavar="KEY=VALUE")
@@ -47,10 +50,17 @@ def parser() -> argparse.ArgumentParser:
 
     p = sub.add_parser("hourly", help="reconcile silver with labels and write the hourly tables")
     p.add_argument("--silver-path", required=True)
-    p.add_argument("--labels-csv", required=True)
+    labels = p.add_mutually_exclusive_group(required=True)
+    labels.add_argument("--labels-csv")
+    labels.add_argument("--labels-table", help="table that store-labels wrote")
     p.add_argument("--output-base", required=True)
     p.add_argument("--target-hour-utc", help="YYYY-MM-DD-HH; all hours when omitted")
 
+    p = sub.add_parser("store-labels", help="add labels to a table in buckets of the business key")
+    p.add_argument("--labels-csv", required=True)
+    p.add_argument("--labels-table", required=True, help="database.table")
+    p.add_argument("--buckets", type=int, default=sinks.LABEL_BUCKETS, help="fixed when the table is made")
+
     p = sub.add_parser("load", help="load the hourly tables into a warehouse database")
     p.add_argument("--base", required=True)
     p.add_argument("--database", required=True)
@@ -110,11 +120,15 @@ def main(argv: list[str] | None = None) -> int:
             velocity_threshold=args.velocity_threshold, files_per_batch=args.output_partitions,
             trigger_seconds=args.trigger_seconds, available_now=args.available_now,
             fail_on_bad_message=args.fail_on_bad_message, late_seconds=args.late_seconds)
-        score_stream(messages, models.load_serving(spark, args.model_path), paths, settings).awaitTermination()
+        with recorded_progress(spark, args.progress_path) if args.progress_path else nullcontext():
+            score_stream(messages, models.load_serving(spark, args.model_path), paths, settings).awaitTermination()
     elif args.job == "hourly":
+        labels = spark.table(args.labels_table) if args.labels_table else lake.read_labels(spark, args.labels_csv)
         counts = jobs.hourly_from_lake(
-            spark, args.silver_path, lake.read_labels(spark, args.labels_csv), args.output_base, args.target_hour_utc)
+            spark, args.silver_path, labels, args.output_base, args.target_hour_utc)
         print(counts)
+    elif args.job == "store-labels":
+        sinks.store_labels(lake.read_labels(spark, args.labels_csv), args.labels_table, args.buckets)
     elif args.job == "load":
         print(jobs.load(spark, args.base, args.database, args.tables, args.write_disposition,
                         args.create_dataset_if_missing, args.location))

@@ -35,6 +35,12 @@ def split_name(bucket: Column) -> Column:
     )
 
 
+def exact_text(col: Column) -> Column:
+    """Text of a double, one for each value and the same for both zeros. As a key it is grouped and joined as it stands, while
+    Spark normalises doubles first, so that no stored bucketing by them is of use."""
+    return (col + F.lit(0.0)).cast("string")
+
+
 def cents(col: Column) -> Column:
     """Whole cents of an amount: a spelling of a double that every engine writes alike."""
     return F.floor(col * F.lit(100.0)).cast("bigint")

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.functions.coercion import blank_to_null, moment
-from tallyward.functions.keys import hour_of
-from tallyward.operators.skew import HOT_ROWS, key_load, spread_join
-from tallyward.schemas import HOUR, JOIN_KEYS, SOURCE_ID
+from tallyward.functions.keys import exact_text, hour_of
+from tallyward.operators.skew import HOT_ROWS, bucketed_join, key_load, spread_join
+from tallyward.schemas import HOUR, JOIN_KEYS, SILVER, SOURCE_ID
+
+# The business key as a label table stores it: amounts as text. The amount goes first for the same reason as in keep_first.
+_AMOUNTS = [c for c in JOIN_KEYS if isinstance(SILVER[c].dataType, T.DoubleType)]
+STORED_KEYS = [f"{c}_text" for c in _AMOUNTS] + [c for c in JOIN_KEYS if c not in _AMOUNTS]
 
 
 def dedup_keys(df: DataFrame) -> list[str]:
@@ -48,9 +52,19 @@ def dedup_scored(df: DataFrame) -> DataFrame:
     return keep_first(keyed, [*business, *identity], ["kafka_ingest_ts"]).drop(*business, *identity)
 
 
+def stored_keys() -> dict[str, Column]:
+    """The columns of ``STORED_KEYS`` that are made from others."""
+    return {f"{c}_text": exact_text(F.col(c)) for c in _AMOUNTS}
+
+
+def are_stored(labels: DataFrame) -> bool:
+    """Whether ``labels`` come from a table in buckets of the business key."""
+    return set(STORED_KEYS) <= set(labels.columns)
+
+
 def dedup_labels(labels: DataFrame) -> DataFrame:
-    """One label per business key. On conflict the fraud label wins."""
-    return labels.groupBy(*JOIN_KEYS).agg(F.max("isFraud").alias("isFraud"))
+    """One label per business key, stored or not. On conflict the fraud label wins."""
+    return labels.groupBy(*(STORED_KEYS if are_stored(labels) else JOIN_KEYS)).agg(F.max("isFraud").alias("isFraud"))
 
 
 def parse_hour(hour: str) -> datetime:
@@ -109,15 +123,22 @@ def reconcile(
     load: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Scored rows with their label where one has arrived. ``labels`` must be unique per key."""
-    # The amount goes first for the same reason as in keep_first.
-    keys = sorted(JOIN_KEYS, key=lambda c: c != "amount")
-    joined = spread_join(scored, labels.select(*JOIN_KEYS, "isFraud"), keys, "left", load, hot_rows)
+    """Scored rows with their label where one has arrived. ``labels`` must be unique per key. Those of a table in
+    buckets of it are not shuffled; ``load`` must then come from ``business_key_load(.., stored=True)``."""
+    if are_stored(labels):
+        keyed, right = scored.withColumns(stored_keys()), labels.select(*STORED_KEYS, "isFraud")
+        joined = bucketed_join(keyed, right, STORED_KEYS, "left", load, hot_rows).drop(*stored_keys())
+    else:
+        # The amount goes first for the same reason as in keep_first.
+        keys = sorted(JOIN_KEYS, key=lambda c: c != "amount")
+        joined = spread_join(scored, labels.select(*JOIN_KEYS, "isFraud"), keys, "left", load, hot_rows)
     return joined.withColumns(label_columns(as_of))
 
 
-def business_key_load(silver: DataFrame) -> DataFrame:
-    """Key histogram of silver before deduplication, so that it costs no second dedup."""
+def business_key_load(silver: DataFrame, stored: bool = False) -> DataFrame:
+    """Key histogram of silver before deduplication, so that it costs no second dedup; ``stored`` for a join with stored labels."""
+    if stored:
+        return key_load(silver.withColumns(stored_keys()), STORED_KEYS)
     return key_load(silver, sorted(JOIN_KEYS, key=lambda c: c != "amount"))
 
 

@@ -1,4 +1,4 @@
-"""Equi-join that keeps its balance when a few keys hold much of the data."""
+"""Equi-joins that keep their balance when a few keys hold much of the data."""
 
 from __future__ import annotations
 
@@ -74,3 +74,28 @@ def spread_join(
     if how in ("left", "inner"):
         columns = columns + [c for c in right.columns if c not in on]
     return salted_left.join(salted_right, on + ["_salt"], how).select(*columns)
+
+
+def bucketed_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "left",
+    load: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``spread_join`` for a ``right`` that is stored in buckets of ``on``, which is then not shuffled.
+
+    ``left`` goes to the buckets of ``right``. Its hot parts would all go to the same few, so these are joined by
+    ``spread_join`` with the right rows of their keys alone; ``right`` is read a second time for that, unless nothing is hot.
+    """
+    if load is None:
+        load = key_load(left, on)
+    hot = F.broadcast(hot_buckets(load, hot_rows))
+    marked = left.withColumn("_bucket", hash_bucket(on)).join(hot, "_bucket", "left")
+    cold = marked.where(F.col("_pieces").isNull()).drop("_bucket", "_pieces")
+    crowded = marked.where(F.col("_pieces").isNotNull()).drop("_bucket", "_pieces")
+    theirs = right.withColumn("_bucket", hash_bucket(on)).join(hot, "_bucket", "left_semi").drop("_bucket")
+    columns = left.columns + ([c for c in right.columns if c not in on] if how in ("left", "inner") else [])
+    spread = spread_join(crowded, theirs, on, how, load, hot_rows)
+    return cold.join(right, on, how).select(*columns).unionByName(spread)

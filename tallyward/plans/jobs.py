@@ -34,7 +34,8 @@ def hourly(
 ) -> dict[str, int]:
     """Deduplicate silver, attach labels, write curated / retraining / monitoring by hour and
     return row counts. Where ``silver`` is the target hour alone, ``elsewhere`` holds the rest, read
-    only for repeats of messages without an event time.
+    only for repeats of messages without an event time. A table of ``store_labels`` as ``labels`` is
+    not shuffled, and of it the steps of the window alone are read.
 
     Curated is written first and is the input of the other two tables, so the
     deduplication and the join run once and survive lost executors. The label delay of all
@@ -47,38 +48,42 @@ def hourly(
     span = window.agg(
         F.count(F.lit(1)).alias("rows"),
         (F.count_if(reconcile.lacks_event_time()) if identified else F.lit(0)).alias("untimed"),
-        F.min(hour_of(F.col("event_ts"))).alias("first"),
-        F.max(hour_of(F.col("event_ts"))).alias("last"),
+        # Hours, not rows, come to the driver.
+        F.collect_set(hour_of(F.col("event_ts"))).alias("hours"),
+        F.min("step").alias("first_step"), F.max("step").alias("last_step"),
     ).first()
-    if not span["rows"]:
+    if not span["hours"]:
         raise ValueError("The chosen window holds no scored transactions.")
     delivered = window
     if target_hour and span["untimed"]:
         delivered = window.unionByName(reconcile.repeats_elsewhere(silver, target_hour, elsewhere))
     scored = reconcile.filter_hour(reconcile.dedup_scored(delivered), target_hour)
-    joined = reconcile.reconcile(
-        scored, reconcile.dedup_labels(labels), as_of, load=reconcile.business_key_load(window))
+    due = labels.where(F.col("step").between(F.lit(span["first_step"]), F.lit(span["last_step"])))
+    load = reconcile.business_key_load(window, stored=reconcile.are_stored(labels))
+    joined = reconcile.reconcile(scored, reconcile.dedup_labels(due), as_of, load=load)
     sinks.write_hourly(reconcile.with_hour(joined).select(*CURATED.fieldNames()), f"{out}/curated_scored")
 
     def this_run(name: str, schema: T.StructType) -> DataFrame:
         """The hours of this run only: earlier runs may have left others in the table."""
         return spark.read.schema(schema).parquet(f"{out}/{name}").where(
-            F.col(HOUR).between(F.lit(span["first"]), F.lit(span["last"])))
+            F.col(HOUR).between(F.lit(min(hours)), F.lit(max(hours))))
 
+    hours = [h.astimezone(timezone.utc) for h in span["hours"]]
     # Of the curated table only the hours that this run has rows of.
-    hours = [r[0] for r in window.select(hour_of(F.col("event_ts"))).distinct().collect()]
     curated = this_run("curated_scored", CURATED).where(F.col(HOUR).isin(hours))
     sinks.write_hourly(
         training.training_dataset(curated).select(*RETRAINING.fieldNames()), f"{out}/retraining_dataset")
     sinks.write_hourly(
         reconcile.hourly_monitoring(curated).select(*MONITORING.fieldNames()), f"{out}/monitoring_hourly")
+    counts = curated.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("is_label_available").alias("labelled"),
+        F.collect_set(HOUR).alias("hours"), F.collect_set(F.when(F.col("isFraud").isNotNull(), F.col(HOUR))).alias("labelled_hours"),
+    ).first()
     for name, schema in (("curated_scored", CURATED), ("retraining_dataset", RETRAINING), ("monitoring_hourly", MONITORING)):
-        # An hour of an earlier run that has no rows now is emptied. Hours, not rows, come to the driver.
-        held = {r[0] for r in this_run(name, schema).select(HOUR).distinct().collect()}
-        now = {r[0] for r in (training.labelled(curated) if name == "retraining_dataset" else curated).select(HOUR).distinct().collect()}
+        # An hour of an earlier run that has no rows now is emptied.
+        now = {h.astimezone(timezone.utc) for h in counts["labelled_hours" if name == "retraining_dataset" else "hours"]}
+        held = {h for h in lake.stored_periods(spark, f"{out}/{name}", HOUR) if min(hours) <= h <= max(hours)}
         sinks.clear_hours(spark, f"{out}/{name}", sorted(held - now), schema)
-    counts = curated.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if("is_label_available").alias("labelled")).first()
     return {
         "silver_rows": span["rows"],
         "curated_rows": counts["rows"],

@@ -342,6 +342,8 @@ SELECT 'recomputed' AS features_from, source_offset, isFraud, {shown(FEATURES)}
     "labels_scan": sql(["txn"], f"SELECT {shown(KEYS)}, isFraud FROM txn"),
     "reconcile_labels": sql(RECONCILED, "SELECT " + shown(
         SHOWN + " isFraud is_label_available:b label_delay_hours:f") + " FROM reconciled"),
+    "reconcile_labels_bucketed": sql(RECONCILED, "SELECT " + shown(
+        SHOWN + " isFraud is_label_available:b label_delay_hours:f") + " FROM reconciled"),
     "hour_filter": sql(["txn"], "SELECT " + shown("source_offset event_ts:t type amount:f") + """ FROM txn
 WHERE date_trunc('hour', event_ts) = TIMESTAMP '2024-01-01 05:00:00'"""),
     "hourly_monitoring": sql([*CURATED, "monitoring"], "SELECT " + shown(
@@ -538,6 +540,14 @@ FROM (SELECT *, event_id % 50 = 7 AS held_back, event_id % 83 <> 0 AS timed,
       FROM received)"""),
     "stream_pull_offsets": sql(["txn"], """
 SELECT source_topic AS topic, source_partition AS "partition", source_offset AS "offset", 1 AS times, 'true' AS within_limit FROM txn"""),
+    "stream_metrics": sql(["txn"], """
+SELECT turn AS ingest_batch_id, count(*) AS input_rows, count(*) FILTER (whole) AS bronze_rows,
+       count(*) FILTER (whole AND NOT again) AS silver_rows, count(*) FILTER (NOT whole) AS undecodable_rows,
+       CAST(0 AS BIGINT) AS late_rows, count(*) FILTER (whole AND again) AS repeated_rows,
+       CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS dropped_rows
+FROM (SELECT event_id % 8 AS turn, event_id % 71 <> 0 AS whole, false AS again FROM txn
+      UNION ALL SELECT event_id % 8 + 1, event_id % 71 <> 0, true FROM txn WHERE event_id % 20 = 0 AND event_id % 8 < 7)
+GROUP BY turn"""),
     "stream_velocity": sql(["txn", "scored"], f"SELECT {shown('source_offset nameOrig event_ts:t velocity_5min:f')} FROM scored"),
     "stream_dedup": sql(["txn"], f"SELECT {shown('source_topic source_partition source_offset event_ts:t amount:f')} FROM txn"),
 }

@@ -29,6 +29,7 @@ from tallyward.schemas import (
 from tallyward.sources import events, lake, models, sinks
 from tallyward.sources.event_log import read_event_log
 from tallyward.sources.message_log import append_segment, read_message_log
+from tallyward.streaming.metrics import accounted, read_progress, recorded_progress
 from tallyward.streaming.score import Settings, Sinks, score_stream
 from tallyward.streaming.velocity import state_partitions, stream_dedup, stream_velocity
 
@@ -153,6 +154,23 @@ def reconcile_labels(spark: SparkSession, sf: str) -> DataFrame:
     return comparable(matched.select(*_SHOWN, "isFraud", "is_label_available", "label_delay_hours"))
 
 
+def reconcile_labels_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """As reconcile_labels, with labels that came in two loads of a table in buckets of the business key; every part of
+    the key space with more than one row counts as hot."""
+    delivered = durable(fx.with_duplicates(fx.silver(spark, sf)), "silver")
+    base = scratch(spark, "labels")
+    table = f"labels_{base[-8:]}.by_key"
+    sinks.ensure_database(spark, table.split(".")[0], location=base)
+    known = durable(fx.labels(spark, sf), "labels")
+    early = F.pmod(F.xxhash64(*JOIN_KEYS), F.lit(2)) == 0
+    for part in (known.where(early), known.where(~early)):
+        sinks.store_labels(part, table, buckets=8)
+    matched = reconcile.reconcile(
+        reconcile.dedup_scored(delivered), reconcile.dedup_labels(spark.table(table)), fx.AS_OF,
+        load=reconcile.business_key_load(delivered, stored=True), hot_rows=1)
+    return comparable(matched.select(*_SHOWN, "isFraud", "is_label_available", "label_delay_hours"))
+
+
 def hour_filter(spark: SparkSession, sf: str) -> DataFrame:
     return comparable(reconcile.filter_hour(fx.transactions(spark, sf), TARGET_HOUR).select(
         "source_offset", "event_ts", "type", "amount"))
@@ -348,7 +366,7 @@ def _tables(stg: DataFrame, stg_mon: DataFrame) -> dict[str, DataFrame]:
 
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
     """Over data with messages delivered twice, so that the fact's key must be reported."""
-    curated = fx.curated(spark, sf)
+    curated = _stored(spark, sf)
     tables = _tables(warehouse.stg_curated(fx.with_duplicates(curated)), _monitoring_of(curated))
     return comparable(_tagged({
         name: quality.check_unique(tables[name], keys).select(
@@ -360,7 +378,7 @@ def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
 def dq_nonnull(spark: SparkSession, sf: str) -> DataFrame:
     """Over data with some transaction types missing."""
     n = F.col("source_offset").cast("bigint")
-    curated = fx.curated(spark, sf)
+    curated = _stored(spark, sf)
     holed = curated.withColumn("type", F.when(n % 89 != 0, F.col("type")))
     tables = _tables(warehouse.stg_curated(holed), _monitoring_of(curated))
     return _tagged({
@@ -390,13 +408,13 @@ def dq_fk_type(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parity_rowcount(spark: SparkSession, sf: str) -> DataFrame:
-    curated = fx.curated(spark, sf)
+    curated = _stored(spark, sf)
     return comparable(quality.parity_rowcount(_fct_of(curated), _fct_of(fx.with_duplicates(curated))))
 
 
 def parity_kpi(spark: SparkSession, sf: str) -> DataFrame:
     """Against a build that counted some messages twice and has no debits."""
-    curated = fx.curated(spark, sf)
+    curated = _stored(spark, sf)
     monitoring = _monitoring_of(curated)
     other = _fct_of(fx.with_duplicates(curated).where(F.col("type") != "DEBIT"))
     return comparable(quality.parity_kpi(
@@ -487,7 +505,7 @@ def train_cap(spark: SparkSession, sf: str) -> DataFrame:
 
 def refresh_gate(spark: SparkSession, sf: str) -> DataFrame:
     """All labels, one class only, and none."""
-    rows = fx.curated(spark, sf)
+    rows = _stored(spark, sf)
     return comparable(_tagged({
         "both": training.refresh_gate(rows),
         "one": training.refresh_gate(rows.where(F.col("isFraud") == 0)),
@@ -669,8 +687,9 @@ def _score_in_turns(spark: SparkSession, deliveries: list[DataFrame], late_secon
         rows.repartition(FILES).write.mode("append").json(source)
     stream = events.read_events(spark, "json", events.pacing_options("json", FILES), source)
     settings = Settings(available_now=True, as_of=fx.AS_OF, late_seconds=late_seconds)
-    query = score_stream(stream, fx.surrogate_score, paths, settings)
-    query.awaitTermination()
+    with recorded_progress(spark, f"{source}-progress"):
+        query = score_stream(stream, fx.surrogate_score, paths, settings)
+        query.awaitTermination()
     assert len(query.recentProgress) == len(deliveries)
     return paths
 
@@ -734,6 +753,14 @@ def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     }, "written_to")
 
 
+def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of the input of each micro-batch, as recorded by the listener and found in the tables."""
+    paths = _score_scattered(spark, sf)
+    progress = read_progress(spark, paths.bronze.removesuffix("bronze") + "in-progress")
+    return accounted(progress, paths).select(
+        "ingest_batch_id", "input_rows", "bronze_rows", "silver_rows", "undecodable_rows", "late_rows", "repeated_rows", "missing_rows", "dropped_rows")
+
+
 def stream_pull_offsets(spark: SparkSession, sf: str) -> DataFrame:
     """A message log pulled a few messages at a time, with a restart: how often each message arrived."""
     base = scratch(spark, "pull")
@@ -806,6 +833,7 @@ QUERIES: dict[str, Query] = {
     "labels_unique": labels_unique,
     "labels_scan": labels_scan,
     "reconcile_labels": reconcile_labels,
+    "reconcile_labels_bucketed": reconcile_labels_bucketed,
     "hour_filter": hour_filter,
     "hourly_monitoring": hourly_monitoring,
     "hourly_overwrite": hourly_overwrite,
@@ -870,6 +898,7 @@ QUERIES: dict[str, Query] = {
     "stream_events_many_batches": stream_events_many_batches,
     "stream_late_rows": stream_late_rows,
     "stream_pull_offsets": stream_pull_offsets,
+    "stream_metrics": stream_metrics,
     "stream_velocity": stream_velocity_query,
     "stream_dedup": stream_dedup_query,
 }

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -72,6 +73,17 @@ def stored_hours(spark: SparkSession, path: str, hours: Iterable[int], run: str)
     return spark.read.schema(schema).option("basePath", path).parquet(*there)
 
 
+def stored_periods(spark: SparkSession, path: str, by: str) -> list[datetime]:
+    """The values of the time column ``by`` that a table is partitioned by, from the names of its folders."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(hadoop):
+        return []
+    names = [unquote(s.getPath().getName()) for s in files.listStatus(hadoop) if s.isDirectory()]
+    values = [n.removeprefix(f"{by}=") for n in names if n.startswith(f"{by}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__")]
+    return [datetime.fromisoformat(v).replace(tzinfo=timezone.utc) for v in values]
+
+
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """Alert rows, each in its last version: velocity can put a flag on a row that was written before. The schema is
     given because the path stays empty until the first alert."""

@@ -30,6 +30,7 @@ from tallyward.sources.sinks import compact
 log = logging.getLogger(__name__)
 
 Scorer = Callable[[DataFrame], DataFrame]
+QUERY_NAME = "score_stream"
 
 
 @dataclass(frozen=True)
@@ -277,7 +278,7 @@ def score_stream(
     """
     typed = scoring.coerce(parse_messages(messages), settings.as_of)
     return (
-        typed.writeStream.queryName("score_stream")
+        typed.writeStream.queryName(QUERY_NAME)
         .option("checkpointLocation", sinks.checkpoint)
         .trigger(**trigger(settings.trigger_seconds, settings.available_now))
         .foreachBatch(batch_writer(model, sinks, settings))

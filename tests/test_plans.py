@@ -54,6 +54,48 @@ def test_dedup_drops_copies_before_the_shuffle(silver):
     assert "WindowGroupLimit" in text[:shuffle] and "WindowGroupLimit" in text[shuffle:]
 
 
+def test_stored_labels_are_not_shuffled(spark, silver, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tallyward.operators.skew import hot_buckets
+    from tallyward.schemas import JOIN_KEYS
+    from tallyward.sources import sinks
+
+    sinks.ensure_database(spark, "planned", location=str(tmp_path))
+    # One value of zero, of whichever sign.
+    known = silver.withColumn("oldbalanceDest", F.col("oldbalanceDest") * F.lit(-0.0)).select(*JOIN_KEYS, F.lit(1.0).alias("isFraud"))
+    silver = silver.withColumn("oldbalanceDest", F.col("oldbalanceDest") * F.lit(0.0))
+    sinks.store_labels(known, "planned.labels", buckets=4)
+    sinks.store_labels(known, "planned.labels", buckets=4)
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        load = reconcile.business_key_load(silver, stored=True)
+        due = spark.table("planned.labels").where(F.col("step").between(1, 1))
+        df = reconcile.reconcile(silver, reconcile.dedup_labels(due), load=load)
+        rows = df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert [r["isFraud"] for r in rows] == [1.0, 1.0] and hot_buckets(load).isEmpty()
+    # With nothing hot the final plan has the join with the buckets alone: labels are read once, and no exchange is above them.
+    final = text.split("== Initial Plan ==")[0]
+    assert final.count("planned.labels") == 1 and "SelectedBucketsCount: 4 out of 4" in final
+    lines = final.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "planned.labels" in line)
+    deep = len(lines[scan])
+    above = []
+    for line in reversed(lines[:scan]):
+        depth = len(line) - len(line.lstrip(" :|+-"))
+        if depth < deep:
+            deep = depth
+            above.append(line)
+            if "Join" in line:
+                break
+    assert "Join" in above[-1] and not any("Exchange" in line or "ShuffleQueryStage" in line for line in above), final
+    assert "GreaterThanOrEqual(step,1)" in final
+
+
 def test_reads_only_the_columns_it_needs(silver):
     text = plan(reconcile.business_key_load(silver))
     assert "fraud_score" not in text.split("ReadSchema")[1]

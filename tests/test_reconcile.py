@@ -106,3 +106,28 @@ def test_cap_is_the_lowest_digests_and_copies_count_one_by_one(spark, rows):
 def test_refresh_gate(spark, values, may, reason):
     row = training.refresh_gate(spark.createDataFrame([(v,) for v in values], "isFraud double")).first()
     assert (row["may_refresh"], row["reason"]) == (may, reason)
+
+
+def test_stored_labels_give_the_same_rows(spark, tmp_path):
+    from tallyward.sources import sinks
+
+    rows = scored(spark, {}, {"amount": 3.0}, {"amount": 3.0}, {"amount": -0.0}, {"nameOrig": None}, {"amount": 9.0, "step": 2},
+                  {"oldbalanceDest": float("nan")})
+    names = [*JOIN_KEYS, "isFraud"]
+    known = rows.where("source_offset <> '5'").select(*JOIN_KEYS, F.lit(0.0).alias("isFraud"))
+    conflict = rows.where("source_offset = '1'").select(*JOIN_KEYS, F.lit(1.0).alias("isFraud"))
+    sinks.ensure_database(spark, "same_rows", location=str(tmp_path))
+    for part in (known, conflict):
+        sinks.store_labels(part, "same_rows.labels", buckets=4)
+    plain = reconcile.reconcile(rows, reconcile.dedup_labels(known.unionByName(conflict)), at(7200))
+    for hot_rows in (1, 1000):
+        load = reconcile.business_key_load(rows, stored=True)
+        found = reconcile.reconcile(rows, reconcile.dedup_labels(spark.table("same_rows.labels")), at(7200), load, hot_rows)
+        assert found.columns == plain.columns
+        assert sorted(map(repr, found.select("source_offset", *names).collect())) == sorted(map(repr, plain.select("source_offset", *names).collect()))
+    assert {r["source_offset"]: r["isFraud"] for r in plain.collect()} == {
+        "0": 0.0, "1": 1.0, "2": 1.0, "3": 0.0, "4": None, "5": None, "6": 0.0}
+    from tallyward.plans import jobs
+
+    counts = jobs.hourly(spark, rows, spark.table("same_rows.labels"), str(tmp_path / "hourly"), as_of=at(7200))
+    assert counts["curated_rows"] == 7 and counts["labelled_rows"] == 5

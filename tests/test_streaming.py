@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyward.plans import fixture
 from tallyward.schemas import MESSAGE, SILVER, SOURCE_ID
 from tallyward.sources import events, lake
+from tallyward.streaming.metrics import PROGRESS, accounted, read_progress, recorded_progress
 from tallyward.streaming.score import Settings, Sinks, progress_metrics, score_stream
 from tallyward.streaming.velocity import stream_dedup, stream_velocity
 
@@ -287,3 +288,34 @@ def test_model_scores_inside_the_stream(spark, sf, path):
     silver = silver_rows(spark, path)
     assert silver.count() == 985 and silver.where("fraud_score between 0 and 1").count() == 985
     assert scored(spark, {}).schema == silver.schema
+
+
+def test_progress_is_recorded_once_per_micro_batch(spark, sf, path):
+    import time
+
+    feed(spark, sf, path, files=2)
+    found = []
+    for _ in range(2):  # the second time over nothing new
+        with recorded_progress(spark, f"{path}/progress") as table:
+            query = run(spark, path, Settings(available_now=True, as_of=fixture.AS_OF))
+            found += query.recentProgress
+            stopped = time.monotonic()
+        assert time.monotonic() - stopped < 30 and table.over.is_set()
+    progress = read_progress(spark, f"{path}/progress")
+    rows = accounted(progress, sinks_at(path)).orderBy("ingest_batch_id").collect()
+    assert [r["ingest_batch_id"] for r in rows] == [0, 1] and {r["run"] for r in rows} == {str(query.id)}
+    assert sum(r["input_rows"] for r in rows) == 1000 and all(r["missing_rows"] == 0 for r in rows)
+    assert all(r["undecodable_rows"] > 0 and r["durations_ms"]["triggerExecution"] > 0 and r["rows_per_second"] > 0 for r in rows)
+    # A micro-batch that is done again replaces its row.
+    table._write(next(p for p in found if p.batchId == 1 and p.numInputRows))
+    assert read_progress(spark, f"{path}/progress").count() == 2
+
+
+def test_progress_of_other_streams_is_not_recorded_and_lost_rows_show(spark, path):
+    scored(spark, {}).select(*SOURCE_ID, "event_ts").write.parquet(f"{path}/in")
+    with recorded_progress(spark, f"{path}/progress", "watched", wait_seconds=5) as table:
+        stream = spark.readStream.schema("source_topic string").parquet(f"{path}/in")
+        stream.writeStream.format("noop").option("checkpointLocation", f"{path}/cp").trigger(availableNow=True).start().awaitTermination()
+    assert table.run is None and read_progress(spark, f"{path}/progress").count() == 0
+    lost = spark.createDataFrame([("r", 0, None, 7, 1.0, 1.0, 0, {})], PROGRESS)
+    assert accounted(lost, sinks_at(path)).first()["missing_rows"] == 7
