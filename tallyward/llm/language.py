@@ -6,6 +6,7 @@ are fitted in numpy on a bounded sample of labelled rows; every row of the input
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -122,13 +123,24 @@ def _machine(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     return mean_w / total, mean_b / total
 
 
+def first_of_each(texts: DataFrame, fit_rows: int) -> DataFrame:
+    """Of each lang the ``fit_rows`` rows that come first by ``_a`` and ``_b``. The firsts of groups of tasks are found before
+    those of all, so that no task gets the firsts of every other: with n tasks two steps of about the root of n groups each."""
+    groups = math.isqrt(max(0, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1)) + 1
+    order = [F.col("_a"), F.col("_b")]
+    grouped = texts.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(groups)))
+    for keys in (["lang", "_group"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        grouped = grouped.withColumn("_n", rank).where(F.col("_n") <= fit_rows).drop("_n")
+    return grouped.drop("_group")
+
+
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, fit_rows_in_all: int = FIT_ROWS_IN_ALL) -> LanguageModel:
     """Fit on ``labelled`` (text, lang): of each language the ``fit_rows`` different texts that come first by a hash."""
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "lang", "text", F.xxhash64("text").alias("_a"), F.xxhash64(F.lit(1), "text").alias("_b"))
     text = ["lang", "_a", "_b"]
-    order = Window.partitionBy("lang").orderBy("_a", "_b")
-    first = labelled.select(*text).distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= fit_rows).drop("_n")
+    first = first_of_each(labelled.select(*text).distinct(), fit_rows)
     # Copies of a text are left out only after the choice, so no other texts are moved; first has fit_rows rows of a language.
     some = labelled.join(F.broadcast(first), text).groupBy(*text).agg(F.min("text").alias("text")).select("lang", "text")
 

@@ -149,6 +149,19 @@ def test_languages_are_learned_from_different_texts(spark, sf):
     assert np.allclose(once.scale, often.scale) and np.allclose(once.weights, often.weights)
 
 
+def test_first_texts_of_a_language_are_found_in_two_steps(spark):
+    rows = spark.range(0, 20_000, 1, 40).select(
+        F.when(F.col("id") % 3 == 0, "rare").otherwise("hot").alias("lang"), F.xxhash64("id").alias("_a"), F.col("id").alias("_b"))
+    chosen = language.first_of_each(rows, 25)
+    by_lang = defaultdict(list)
+    for r in rows.collect():
+        by_lang[r["lang"]].append((r["_a"], r["_b"]))
+    assert sorted(map(tuple, chosen.collect())) == sorted((lang, *x) for lang, xs in by_lang.items() for x in sorted(xs)[:25])
+    text = chosen._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    # Each step drops what is behind already before its shuffle.
+    assert text.count("WindowGroupLimit") == 4 and text.count("Exchange hashpartitioning") == 2
+
+
 def test_search(spark, sf):
     docs = [(r["doc_id"], words_of(r["text"])) for r in read(sf)]
     mean = sum(len(w) for _, w in docs) / len(docs)
