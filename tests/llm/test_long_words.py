@@ -9,7 +9,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tallyward.llm import attention, common
+from test_new_operators import search_by_hand
+
+from tallyward.llm import attention, common, maxsketch
 from tallyward.llm.common import tokenizer_path, word_hashes, words_of
 
 # More texts than go into one run of word_hashes; every fifth has a long word, and runs with and without one take turns.
@@ -52,3 +54,10 @@ def test_language_model_counts_words_beside_longer_ones(spark, rows):
         want.append((i, held[i], len(words), sum(counts[w] > 0 for w in words), n, round(base, 6)))
     got = attention.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), tokenizer_path()).collect()
     assert sorted((*r[:5], round(r["base_score"], 6)) for r in got) == sorted(want)
+
+
+def test_ranked_search_beside_longer_words(spark, rows):
+    items = [(1, "w1 w2, w3"), (2, f"w5 {LONG[1]}"), (3, LONG[0]), (4, "w7 w7 w8")]
+    got = maxsketch.ranked_search(spark.createDataFrame(items, "item_id long, text string"),
+                                  spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, got.collect())) == sorted(search_by_hand(items, rows, 20))
