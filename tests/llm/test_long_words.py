@@ -11,7 +11,7 @@ import pytest
 
 from test_new_operators import search_by_hand
 
-from tallyward.llm import attention, common, maxsketch
+from tallyward.llm import attention, common, maxsketch, search
 from tallyward.llm.common import tokenizer_path, word_hashes, words_of
 
 # More texts than go into one run of word_hashes; every fifth has a long word, and runs with and without one take turns.
@@ -61,3 +61,19 @@ def test_ranked_search_beside_longer_words(spark, rows):
     got = maxsketch.ranked_search(spark.createDataFrame(items, "item_id long, text string"),
                                   spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert sorted(map(tuple, got.collect())) == sorted(search_by_hand(items, rows, 20))
+
+
+def test_search_beside_longer_words(spark, rows):
+    docs = [(i, words_of(t)) for i, t in rows]
+    mean = sum(len(w) for _, w in docs) / len(docs)
+    counted = [(i, Counter(w), len(w)) for i, w in docs]
+    df = Counter(x for _, c, _ in counted for x in c)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    asked = [(i, c) for i, c, _ in counted if i % 20 == 0]
+    got = search.search(frame.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id"), frame, len(rows)).collect()
+    want = []
+    for i, c in asked:
+        scores = [sum(math.log(1 + (len(docs) - df[x] + 0.5) / (df[x] + 0.5)) * d[x] * 2.2 / (d[x] + 1.2 * (0.25 + 0.75 * n / mean))
+                      for x in c.keys() & d.keys()) for _, d, n in counted]
+        want += [(i, j, round(s, 6)) for (j, _, _), s in zip(counted, scores) if s > 0]
+    assert sorted((r["query_id"], r["doc_id"], round(r["score"], 6)) for r in got) == sorted(want)
