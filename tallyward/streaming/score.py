@@ -98,17 +98,21 @@ def new_messages(rows: DataFrame, earlier: DataFrame | None) -> DataFrame:
     return fresh.select(*rows.columns).unionByName(unknown)
 
 
-def alerts_now_due(fresh: DataFrame, earlier: DataFrame, settings: Settings) -> DataFrame:
-    """Rows of ``earlier`` whose account reaches the velocity threshold by the rows of ``fresh``, with their new flags and
-    ``was_alert``. An account reaches it once per bucket, from fewer rows than the threshold, so these are few."""
+def accounts_now_due(fresh: DataFrame, earlier: DataFrame, settings: Settings) -> DataFrame:
+    """Accounts and buckets that reach the velocity threshold by the rows of ``fresh``, with all rows they have then."""
     def counted(rows: DataFrame, name: str) -> DataFrame:
         account = F.coalesce("nameOrig", F.lit(UNKNOWN)).alias("_account")
         return rows.groupBy(account, "slot").agg(F.count(F.lit(1)).alias(name))
 
     total = F.col("_before") + F.col("_now")
-    reached = counted(earlier, "_before").join(counted(fresh, "_now"), ["_account", "slot"]).where(
+    return counted(earlier, "_before").join(counted(fresh, "_now"), ["_account", "slot"]).where(
         (F.col("_before") < settings.velocity_threshold) & (total >= settings.velocity_threshold)).select(
             "_account", "slot", total.cast("double").alias("_total"))
+
+
+def alerts_now_due(reached: DataFrame, earlier: DataFrame, settings: Settings) -> DataFrame:
+    """Rows of ``earlier`` of the accounts and buckets in ``reached``, with their new flags and ``was_alert``. An account
+    reaches the threshold once per bucket, from fewer rows than the threshold, so these are few."""
     due = earlier.withColumn("_account", F.coalesce("nameOrig", F.lit(UNKNOWN))).join(reached, ["_account", "slot"])
     changed = due.withColumns({"velocity_5min": F.col("_total"), "was_alert": F.col("is_alert")})
     return scoring.apply_velocity_rule(changed, settings.velocity_threshold).select(*SILVER.fieldNames(), "was_alert")
@@ -251,15 +255,23 @@ def batch_writer(model: PipelineModel | Scorer, sinks: Sinks, settings: Settings
         if written is not None:
             silver = written.where(F.col("ingest_batch_id") == batch_id)
             alerts = silver.where(F.col("is_alert")).select(*SILVER.fieldNames(), F.lit(False).alias("was_alert"))
+            reached = None
             if earlier is not None:
-                alerts = alerts.unionByName(alerts_now_due(silver, earlier, settings))
-            if not alerts.isEmpty():
-                compact(alerts, settings.files_per_batch).write.mode("overwrite").parquet(f"{sinks.gold}/{at}")
-                mark("gold_seconds")
-                if sinks.events or sinks.events_format != "text":
-                    gold = spark.read.schema(alerts.schema).parquet(f"{sinks.gold}/{at}")
-                    _write_events(gold.where("NOT was_alert").select(*SILVER.fieldNames()), sinks, at)
-                    mark("events_seconds")
+                reached = accounts_now_due(silver, earlier, settings).repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+                # Once they are there, Spark knows their size and sends few of them to the earlier rows, which then need no shuffle.
+                reached.count()
+                alerts = alerts.unionByName(alerts_now_due(reached, earlier, settings))
+            try:
+                if not alerts.isEmpty():
+                    compact(alerts, settings.files_per_batch).write.mode("overwrite").parquet(f"{sinks.gold}/{at}")
+                    mark("gold_seconds")
+                    if sinks.events or sinks.events_format != "text":
+                        gold = spark.read.schema(alerts.schema).parquet(f"{sinks.gold}/{at}")
+                        _write_events(gold.where("NOT was_alert").select(*SILVER.fieldNames()), sinks, at)
+                        mark("events_seconds")
+            finally:
+                if reached is not None:
+                    reached.unpersist()
         log.info("micro-batch %s: %s", batch_id, marks)
         if settings.on_batch:
             settings.on_batch(marks)
