@@ -162,9 +162,10 @@ def reconcile_labels_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     table = f"labels_{base[-8:]}.by_key"
     sinks.ensure_database(spark, table.split(".")[0], location=base)
     known = durable(fx.labels(spark, sf), "labels")
+    buckets = sinks.label_buckets(known.count())
     early = F.pmod(F.xxhash64(*JOIN_KEYS), F.lit(2)) == 0
     for part in (known.where(early), known.where(~early)):
-        sinks.store_labels(part, table, buckets=8)
+        sinks.store_labels(part, table, buckets=buckets)
     matched = reconcile.reconcile(
         reconcile.dedup_scored(delivered), reconcile.dedup_labels(spark.table(table)), fx.AS_OF,
         load=reconcile.business_key_load(delivered, stored=True), hot_rows=1)

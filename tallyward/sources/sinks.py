@@ -21,6 +21,8 @@ DISPOSITIONS = {
 }
 # Buckets of a label table: a power of two near its size in units of 128 MB, a few years ahead.
 LABEL_BUCKETS = 512
+# Where the labels are counted first, a bucket gets at most this many of them, and there are at least so many buckets.
+LABELS_A_BUCKET, LEAST_BUCKETS = 100_000, 8
 _LISTED = "spark.sql.hive.manageFilesourcePartitions"
 
 
@@ -77,6 +79,11 @@ def _create_table(spark: SparkSession, df: DataFrame, table: str, location: str,
         spark.conf.set(_LISTED, before)
 
 
+def label_buckets(rows: int) -> int:
+    """Buckets of a table for ``rows`` labels: a power of two that grows with them, so that a task's share does not."""
+    return max(LEAST_BUCKETS, 1 << max(0, -(-rows // LABELS_A_BUCKET) - 1).bit_length())
+
+
 def store_labels(labels: DataFrame, table: str, buckets: int = LABEL_BUCKETS) -> None:
     """Add labels (business key, ``isFraud``) to a table in buckets of the key, sorted by ``step`` so that Parquet skips other
     steps. The table is made if it is missing; repeats and conflicts are left to ``dedup_labels``. The number of

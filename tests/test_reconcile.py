@@ -131,3 +131,18 @@ def test_stored_labels_give_the_same_rows(spark, tmp_path):
 
     counts = jobs.hourly(spark, rows, spark.table("same_rows.labels"), str(tmp_path / "hourly"), as_of=at(7200))
     assert counts["curated_rows"] == 7 and counts["labelled_rows"] == 5
+
+
+def test_buckets_of_stored_labels_follow_their_number(spark, sf, monkeypatch):
+    from tallyward.plans import queries
+    from tallyward.sources import sinks
+
+    made = []
+    store = sinks.store_labels
+    monkeypatch.setattr(sinks, "LABELS_A_BUCKET", 50)
+    monkeypatch.setattr(sinks, "store_labels", lambda part, table, buckets: (made.append(buckets), store(part, table, buckets)))
+    rows = queries.reconcile_labels_bucketed(spark, sf)
+    known = queries.fx.labels(spark, sf).count()
+    assert len(made) == 2 and made[0] == made[1] == sinks.label_buckets(known) and known / made[0] <= 50 < 2 * known / made[0]
+    assert rows.count() == queries.fx.transactions(spark, sf).count()
+    assert [sinks.label_buckets(n) for n in (0, 1, 400, 401)] == [8, 8, 8, 16]
