@@ -98,16 +98,21 @@ def new_messages(rows: DataFrame, earlier: DataFrame | None) -> DataFrame:
     return fresh.select(*rows.columns).unionByName(unknown)
 
 
-def accounts_now_due(fresh: DataFrame, earlier: DataFrame, settings: Settings) -> DataFrame:
-    """Accounts and buckets that reach the velocity threshold by the rows of ``fresh``, with all rows they have then."""
+def accounts_now_due(fresh: DataFrame, earlier: DataFrame | None, settings: Settings) -> DataFrame:
+    """Accounts and buckets that reach the velocity threshold by the rows of ``fresh``, with all rows they have then. Without
+    ``earlier``, all rows of an account and bucket are as many as the velocity that the rows of ``fresh`` carry says."""
     def counted(rows: DataFrame, name: str) -> DataFrame:
         account = F.coalesce("nameOrig", F.lit(UNKNOWN)).alias("_account")
-        return rows.groupBy(account, "slot").agg(F.count(F.lit(1)).alias(name))
+        all_rows = [] if earlier is not None else [F.max("velocity_5min").alias("_all")]
+        return rows.groupBy(account, "slot").agg(F.count(F.lit(1)).alias(name), *all_rows)
 
+    if earlier is None:
+        found = counted(fresh, "_now").withColumn("_before", F.col("_all") - F.col("_now")).where("_before > 0")
+    else:
+        found = counted(earlier, "_before").join(counted(fresh, "_now"), ["_account", "slot"])
     total = F.col("_before") + F.col("_now")
-    return counted(earlier, "_before").join(counted(fresh, "_now"), ["_account", "slot"]).where(
-        (F.col("_before") < settings.velocity_threshold) & (total >= settings.velocity_threshold)).select(
-            "_account", "slot", total.cast("double").alias("_total"))
+    return found.where((F.col("_before") < settings.velocity_threshold) & (total >= settings.velocity_threshold)).select(
+        "_account", "slot", total.cast("double").alias("_total"))
 
 
 def alerts_now_due(reached: DataFrame, earlier: DataFrame, settings: Settings) -> DataFrame:
@@ -218,6 +223,7 @@ def batch_writer(model: PipelineModel | Scorer, sinks: Sinks, settings: Settings
 
         # The batch is read for its buckets, for bronze and for silver, so the source is read once into executor storage.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = None
         try:
             bad = batch.where(~F.col("_valid"))
             if not bad.isEmpty():
@@ -239,7 +245,8 @@ def batch_writer(model: PipelineModel | Scorer, sinks: Sinks, settings: Settings
                 return None if found is None else found.where((F.col("ingest_batch_id") < batch_id) & F.col("slot").between(*slots))
 
             earlier = stored(reach.hours, reach.slots)
-            fresh = new_messages(rows, stored(reach.hours + reach.hours_before, reach.slots_before))
+            # New messages are counted for velocity and scored; looking for repeats of them twice would cost more than to keep them.
+            fresh = new_messages(rows, stored(reach.hours + reach.hours_before, reach.slots_before)).persist(StorageLevel.MEMORY_AND_DISK)
             scored = score_rows(fresh, model, settings, earlier).select(
                 *SILVER.fieldNames(), "slot", "event_hour", F.lit(run).alias("run"), F.lit(batch_id).alias("ingest_batch_id"))
             (compact(scored, settings.files_per_batch, "event_hour").write.mode("overwrite").partitionBy(*SILVER_FOLDERS)
@@ -249,6 +256,8 @@ def batch_writer(model: PipelineModel | Scorer, sinks: Sinks, settings: Settings
                 f"{sinks.bronze}/{at}")
             mark("bronze_seconds")
         finally:
+            if fresh is not None:
+                fresh.unpersist()
             batch.unpersist()
 
         written = stored_hours(spark, sinks.silver, reach.hours, run)
@@ -257,7 +266,7 @@ def batch_writer(model: PipelineModel | Scorer, sinks: Sinks, settings: Settings
             alerts = silver.where(F.col("is_alert")).select(*SILVER.fieldNames(), F.lit(False).alias("was_alert"))
             reached = None
             if earlier is not None:
-                reached = accounts_now_due(silver, earlier, settings).repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+                reached = accounts_now_due(silver, None, settings).repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
                 # Once they are there, Spark knows their size and sends few of them to the earlier rows, which then need no shuffle.
                 reached.count()
                 alerts = alerts.unionByName(alerts_now_due(reached, earlier, settings))
