@@ -24,7 +24,7 @@ from tallyward.plans import fixture as fx
 from tallyward.plans import jobs
 from tallyward.plans.durable import durable, scratch
 from tallyward.schemas import (
-    BRONZE, ENGINEERED, FCT_SCORED, HOUR, JOIN_KEYS, LABELLED_CSV, MESSAGE, RETRAINING, RULE_FLAGS, SILVER, SOURCE_ID,
+    BRONZE, CURATED, ENGINEERED, FCT_SCORED, HOUR, JOIN_KEYS, LABELLED_CSV, MESSAGE, RETRAINING, RULE_FLAGS, SILVER, SOURCE_ID,
 )
 from tallyward.sources import events, lake, models, sinks
 from tallyward.sources.event_log import read_event_log
@@ -215,6 +215,13 @@ def _stored(spark: SparkSession, sf: str) -> DataFrame:
     return durable(fx.curated(spark, sf), "curated")
 
 
+def _hourly(df: DataFrame) -> DataFrame:
+    """The curated table as the hourly job leaves it: in folders by hour, whose files hold one hour each."""
+    path = scratch(df.sparkSession, "curated")
+    sinks.write_hourly(df.select(*CURATED.fieldNames()), path)
+    return df.sparkSession.read.schema(CURATED).parquet(path).select(*CURATED.fieldNames())
+
+
 def _stg(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.stg_curated(fx.curated(spark, sf))
 
@@ -279,13 +286,14 @@ def _updated_warehouse(spark: SparkSession, sf: str) -> jobs.Warehouse:
     """A warehouse built while one hour lacked a third of its rows and had other amounts, another one lacked all and a third
     one had rows too many; then updated by those hours."""
     out = scratch(spark, "warehouse")
-    right = _stored(spark, sf)
+    right = _hourly(fx.curated(spark, sf))
     n, hour = F.col("source_offset").cast("bigint"), F.date_format(HOUR, "yyyy-MM-dd-HH")
     wrong = right.where((hour != TARGET_HOUR) | (n % 3 != 0)).where(hour != EMPTY_HOUR).withColumn(
         "amount", F.when(hour == TARGET_HOUR, F.col("amount") + 1.0).otherwise(F.col("amount")))
     moved = right.where(hour == TARGET_HOUR).withColumns({
         "event_ts": F.col("event_ts") + F.expr("interval 1 year"), HOUR: F.col(HOUR) + F.expr("interval 1 year"),
         "nameOrig": F.lit("gone")})
+    # Tasks read whole hours, so a file of this one holds some hours whole.
     before = durable(wrong.unionByName(moved), "curated")
     jobs.build_warehouse(spark, before, reconcile.hourly_monitoring(before), out)
     hours = [reconcile.parse_hour(h) for h in (TARGET_HOUR, EMPTY_HOUR, TARGET_HOUR.replace("2024", "2025"))]
@@ -304,7 +312,7 @@ def warehouse_incremental_accounts(spark: SparkSession, sf: str) -> DataFrame:
 
 def warehouse_job(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of each table that the warehouse job builds, and how many rows violate an assertion."""
-    curated = _stored(spark, sf)
+    curated = _hourly(fx.curated(spark, sf))
     built = jobs.build_warehouse(spark, curated, reconcile.hourly_monitoring(curated), scratch(spark, "warehouse"))
     counted = {**built.tables, "violations": _tagged(
         {name: rows.select(F.lit(1).alias("one")) for name, rows in built.violations.items()}, "check")}

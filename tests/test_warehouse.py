@@ -192,3 +192,13 @@ def test_percentiles_of_merged_sketches(spark):
     merged = {r["type"]: r for r in quantiles.merged_percentile(sketches, 0.95, "type").collect()}
     assert merged["TRANSFER"]["txn_count"] == 200 and 0.94 <= merged["TRANSFER"]["score_percentile"] <= 0.96
     assert merged["DEBIT"]["txn_count"] == 1 and merged["DEBIT"]["score_percentile"] is None
+
+
+def test_facts_of_an_hour_are_in_one_file_however_the_rows_came(spark, sf, monkeypatch):
+    from tallyward.plans import queries
+
+    dealt = queries.fx.curated
+    monkeypatch.setattr(queries.fx, "curated", lambda *given: dealt(*given).repartition(6))
+    facts = queries._updated_warehouse.__wrapped__(spark, sf).tables["fct_scored_transactions"]
+    files = facts.select("event_hour_utc", F.input_file_name().alias("file")).distinct().groupBy("event_hour_utc").count()
+    assert {r["count"] for r in files.collect()} == {1}
