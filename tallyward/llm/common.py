@@ -8,6 +8,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,17 +55,18 @@ def read_whole(path: str) -> str:
 
 
 # Marks that end a word. After a letter or digit and before a space they are always tokens of their own; but the tokenizer
-# lower-cases this one letter to two characters, and its dot joins the mark.
-_END_MARKS = re.compile(r"(?<=[^\W_\u0130])[.,!?;:%#$&*|]+(?=[ \n])")
+# lower-cases this one letter to two characters, and its dot joins the mark. What stands before is looked at after the
+# first mark: a search for marks is faster than one for places behind letters.
+_END_MARKS = re.compile(r"[.,!?;:%#$&*|](?<=[^\W_\u0130].)[.,!?;:%#$&*|]*(?=[ \n])")
 
 
-def _pieces(text: str | None) -> list[str]:
-    """Pieces of a text that the tokenizer treats one by one; A-Z lower-cased, as it does itself."""
+def _pieces(text: str | None) -> bytes:
+    """Pieces of a text that the tokenizer treats one by one, each with a space behind it; A-Z lower-cased, as it does itself."""
     if text is None:
-        return [""]
-    if "<|" not in text:  # else a special token may stand there, and those know their case
-        text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-    return _END_MARKS.sub(r" \g<0>", text).replace("\n", " ").split(" ")
+        return b" "
+    cut = _END_MARKS.sub(r" \g<0>", text).replace("\n", " ").encode("utf-8", "surrogatepass")
+    # A special token may stand there, and those know their case.
+    return (cut if "<|" in text else cut.lower()) + b" "
 
 
 class WordIds:
@@ -82,46 +84,52 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self._forget()
 
-    def _codes(self, pieces: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each piece. Many pieces go at once; where an id's characters stand tells whose it is."""
+    def _codes(self, pieces: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of some pieces after another, and how many each has. Many pieces go at once; where an id's characters stand
+        tells whose it is."""
         for begin in range(0, len(pieces), 512):
-            some = pieces[begin:begin + 512]
-            code = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            places = np.fromiter((o[0] for o in code.offsets), np.int64, len(code.ids))
-            starts = np.cumsum([0] + [len(p) + 1 for p in some[:-1]])
-            ends = np.cumsum(np.bincount(np.searchsorted(starts, places, side="right") - 1, minlength=len(some))).tolist()
-            ids = np.array(code.ids, np.uint32)
-            yield from (ids[b:e] for b, e in zip([0, *ends], ends))
+            some = [p.decode("utf-8", "surrogatepass") for p in pieces[begin:begin + 512]]
+            code = self.tokenizer.encode("".join(some)[:-1], add_special_tokens=False)
+            places = np.fromiter(itertools.chain.from_iterable(code.offsets), np.int64, 2 * len(code))[::2]
+            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
+            yield np.array(code.ids, np.uint32), np.bincount(np.searchsorted(ends, places, side="right"), minlength=len(some))
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.ids = np.empty(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
-    def _learn(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Ids of all ``pieces``, which differ, are known afterwards."""
         new = [p for p in pieces if p not in self.known]
+        if not new:
+            return
         if len(self.known) + len(new) > REMEMBERED_WORDS:
             self._forget()
-            new = list(pieces)
-        codes = list(self._codes(new))
+            new = pieces
+        codes, sizes = zip(*self._codes(new))
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
         self.ids = np.concatenate([self.ids, *codes])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(c) for c in codes], dtype=np.int64)])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text; null counts as empty."""
         for some in chunks(texts, _CHUNK_CHARS * 8):
-            pieces = [_pieces(t) for t in some]
-            flat = list(itertools.chain.from_iterable(pieces))
-            words = set(flat)
-            if not self.known.keys() >= words:
-                self._learn(words)
-            at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
-            sizes = self.starts[at + 1] - self.starts[at]
+            blobs = [_pieces(t) for t in some]
+            raw = b"".join(blobs)
+            stops = np.flatnonzero(np.frombuffer(raw, np.uint8) == 0x20) + 1
+            bounds = np.concatenate([[0], stops])
+            # Arrow tells equal pieces apart from others without a Python object for each of them.
+            flat = pa.Array.from_buffers(pa.large_binary(), len(stops), [None, pa.py_buffer(bounds), pa.py_buffer(raw)]).dictionary_encode()
+            pieces = flat.dictionary.to_pylist()
+            self._learn(pieces)
+            at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))[flat.indices.to_numpy()]
+            begins = self.starts[at]
+            sizes = self.starts[at + 1] - begins
             ends = np.cumsum(sizes)
-            found = self.ids[np.arange(ends[-1]) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
-            stops = ends[np.cumsum([len(p) for p in pieces]) - 1]
-            yield from np.split(found, stops[:-1])
+            found = self.ids[np.arange(ends[-1]) + np.repeat(begins - (ends - sizes), sizes)]
+            last = np.searchsorted(stops, np.cumsum([len(b) for b in blobs]))
+            yield from np.split(found, ends[last][:-1])
 
 
 def chunks(texts: list[str | None], chars: int) -> Iterator[list[str | None]]:
