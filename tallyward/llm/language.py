@@ -33,6 +33,8 @@ UNKNOWN = "und"
 # Labelled rows a machine is fitted on: at most so many of a language, and of all languages together.
 FIT_ROWS = 300
 FIT_ROWS_IN_ALL = 6_000
+# Places of a row that are not nought, and their counts.
+_AT, _N = ">u2", ">u4"
 _ROUNDS = 150
 _STRICTNESS = 1e-4
 _STEEPNESS = 3.0
@@ -111,7 +113,8 @@ def _machine(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     w, b = np.zeros(x.shape[1]), 0.0
     mean_w, mean_b = np.zeros(x.shape[1]), 0.0
-    size = 1.0 / max(1e-9, (x * x).sum(axis=1).mean())
+    # Some rows at a time: a matrix as large as x would be the most that the driver holds.
+    size = 1.0 / max(1e-9, np.concatenate([(some * some).sum(axis=1) for some in np.split(x, range(64, len(x), 64))]).mean())
     for step in range(1, _ROUNDS + 1):
         wrong = (y * (x @ w + b) < 1) * weight * y
         rate = 20 * size / np.sqrt(step)
@@ -148,13 +151,14 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, fit_rows_in_all: int = FI
         letters = _letter_table()
         for batch in frames:
             found = [letter_counts(t, letters) for t in batch.column("text").to_pylist()]
-            at = [np.empty(0, np.int64) if c is None else np.flatnonzero(c) for c in found]
+            found = [(np.empty(0, np.int64),) * 2 if c is None else (np.flatnonzero(c), c[np.flatnonzero(c)]) for c in found]
+            # Big-endian, so that bytes are in the order of their numbers.
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), pa.array([a.tolist() for a in at], pa.list_(pa.int64())),
-                 pa.array([[] if c is None else c[a].tolist() for c, a in zip(found, at)], pa.list_(pa.int64()))], ["lang", "at", "n"])
+                [batch.column("lang"), *(pa.array([pair[side].astype(kind).tobytes() for pair in found], pa.binary())
+                                         for side, kind in enumerate((_AT, _N)))], ["lang", "at", "n"])
 
     # At most fit_rows rows of a language, each with at most FEATURES counts.
-    rows = [r for r in some.mapInArrow(count, "lang string, at array<long>, n array<long>").collect() if r["at"]]
+    rows = [r for r in some.mapInArrow(count, "lang string, at binary, n binary").collect() if r["at"]]
     by_lang: dict[str, list] = defaultdict(list)
     for r in sorted(rows, key=lambda r: (r["lang"], r["at"], r["n"])):
         by_lang[r["lang"]].append(r)
@@ -163,7 +167,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, fit_rows_in_all: int = FI
     langs = np.array([r["lang"] for r in rows])
     x = np.zeros((len(rows), FEATURES))
     for i, r in enumerate(rows):
-        x[i, r["at"]] = r["n"]
+        x[i, np.frombuffer(r["at"], _AT)] = np.frombuffer(r["n"], _N)
         x[i] /= x[i].sum()
     model = LanguageModel(1.0 / np.sqrt(x.mean(axis=0) + 1e-4) if len(rows) else np.ones(FEATURES))
     x *= model.scale
@@ -176,7 +180,8 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, fit_rows_in_all: int = FI
             for b in names[i + 1:]:
                 some_rows = (labels == a) | (labels == b)
                 model.pairs.append((a, b))
-                found.append(_machine(x[some_rows], np.where(labels[some_rows] == a, 1.0, -1.0)))
+                # The rows of all languages are not copied.
+                found.append(_machine(x if some_rows.all() else x[some_rows], np.where(labels[some_rows] == a, 1.0, -1.0)))
     if found:
         model.weights, model.bias = np.array([w for w, _ in found]), np.array([b for _, b in found])
     return model
