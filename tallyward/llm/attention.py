@@ -44,6 +44,9 @@ FREQUENT = 1e-6
 # Pairs of ids with at least this share of all training ids, likewise.
 FREQUENT_PAIR = 5e-7
 _KEY = ["row_a", "row_b"]
+# Windows that are scored at once; their arrays stay in a core's cache.
+SCORED = 64
+_PAST = np.tri(WINDOW, dtype=np.float32)
 
 
 def held_out() -> Column:
@@ -75,7 +78,7 @@ class Attention:
         # What comes later has no weight; scores are small, so no maximum need be taken off.
         np.clip(a, -30, 30, out=a)
         np.exp(a, out=a)
-        a *= np.tri(size, dtype=np.float32)
+        a *= _PAST[:size, :size]
         a /= a.sum(axis=2, keepdims=True)
         g = np.tanh(np.matmul(a, v) + w["own"][x])
         logits = g @ w["out"]
@@ -91,27 +94,35 @@ class Attention:
 
     def gradient(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         w, (q, k, v, a, g, logits) = self.weights, self.forward(x)
-        p = np.exp(logits - logits.max(axis=2, keepdims=True))
-        p /= p.sum(axis=2, keepdims=True)
-        loss = -float(np.log(np.take_along_axis(p, y[..., None], axis=2) + 1e-12).mean())
-        d = p
-        np.put_along_axis(d, y[..., None], np.take_along_axis(d, y[..., None], axis=2) - 1, axis=2)
-        d /= y.size
-        dh = (d @ w["out"].T) * (1 - g * g)
+        # Step by step in the array of logits: what is allocated anew for each step costs as much as the arithmetic.
+        logits -= logits.max(axis=2, keepdims=True)
+        own = np.take_along_axis(logits, y[..., None], axis=2)
+        d = np.exp(logits, out=logits)
+        total = d.sum(axis=2, keepdims=True)
+        loss = float((np.log(total) - own).mean())
+        total *= y.size
+        d /= total
+        d.reshape(-1)[np.arange(y.size) * d.shape[2] + y.reshape(-1)] -= np.float32(1 / y.size)
+        dh = d @ w["out"].T
+        dh *= 1 - g * g
         da = np.matmul(dh, v.transpose(0, 2, 1))
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(1 / math.sqrt(q.shape[2]))
+        da -= np.einsum("bij,bij->bi", da, a)[..., None]
+        da *= a
+        da *= np.float32(1 / math.sqrt(q.shape[2]))
+        ds = da
         dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
         rows = np.concatenate([r.reshape(x.size, -1) for r in (dq, dk, np.matmul(a.transpose(0, 2, 1), dh), dh, d)], axis=1)
         flat = x.reshape(-1)
-        order = np.argsort(flat, kind="stable")
-        ordered = flat[order]
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
+        ordered, rows = flat[order], rows[order]
         begins = np.flatnonzero(np.diff(ordered, prepend=-1))
         table = np.zeros((len(w["next"]), rows.shape[1]), np.float32)
-        table[ordered[begins]] = np.add.reduceat(rows[order], begins, axis=0)
+        for symbol, lo, hi in zip(ordered[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), x.size]):
+            rows[lo:hi].sum(axis=0, out=table[symbol])
         found = dict(zip(_TABLES, np.split(table, np.cumsum([w[n].shape[1] for n in _TABLES])[:-1], axis=1)))
-        for name, rows in (("at_query", dq), ("at_key", dk)):
+        for name, each in (("at_query", dq), ("at_key", dk)):
             found[name] = np.zeros_like(w[name])
-            found[name][:x.shape[1]] = rows.sum(axis=0)
+            found[name][:x.shape[1]] = each.sum(axis=0)
         return loss, found | {"out": np.tensordot(g, d, axes=([0, 1], [0, 1]))}
 
     def rows(self) -> np.ndarray:
@@ -470,13 +481,13 @@ def text_scores(documents: list[np.ndarray], model: Attention, rank: np.ndarray,
     line = np.concatenate([[begin], symbols_of(flat[:-1], rank, classes)])
     line[firsts] = begin
     owner, first, done = windows(sizes)
-    for lo in range(0, len(owner), 512):
-        o, f = owner[lo:lo + 512], first[lo:lo + 512]
+    for lo in range(0, len(owner), SCORED):
+        o, f = owner[lo:lo + SCORED], first[lo:lo + SCORED]
         offset = np.arange(WINDOW)
         valid = f[:, None] + offset < sizes[o][:, None]
         at = np.where(valid, firsts[o][:, None] + f[:, None] + offset, 0)
         found = model.log_share(line[at], after[at])
-        found[~valid | (offset < done[lo:lo + 512, None])] = 0
+        found[~valid | (offset < done[lo:lo + SCORED, None])] = 0
         np.add.at(score, o, found.sum(axis=1, dtype=np.float64))
     return score, rest, times
 
